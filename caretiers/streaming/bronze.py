@@ -19,10 +19,10 @@ from caretiers.functions import instant
 from caretiers.schemas import INGESTED_AT, LOAD_DATE, SOURCE_FILE
 from caretiers.sources.tables import dynamic_overwrite
 from caretiers.streaming.layouts import (
-    HEADER_MISMATCH,
     Layout,
     LayoutRegistry,
     evolve_schema,
+    is_header_mismatch,
     read_by_header,
     read_headers,
     read_layout,
@@ -131,7 +131,7 @@ def _ingest_files(
             _write(rows, config, at, batch)
             return
         except Exception as error:
-            if HEADER_MISMATCH not in str(error):
+            if not is_header_mismatch(error):
                 raise
 
     headers = read_headers(spark, paths)

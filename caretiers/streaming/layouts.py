@@ -15,7 +15,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 from caretiers.sources.delimited import csv_reader
 
 REGISTRY_SCHEMA = "version int, columns array<string>, header array<string>"
-HEADER_MISMATCH = "CSV header does not conform to the schema"
+# What Spark's strict CSV reader says about a file with another header.
+HEADER_MISMATCH = (
+    "CSV header does not conform to the schema",
+    "Number of column in CSV header is not equal to number of fields in the schema",
+)
 
 
 def text_schema(columns: Sequence[str]) -> StructType:
@@ -68,6 +72,15 @@ class LayoutRegistry:
         self.layout = layout
 
 
+def is_header_mismatch(error: BaseException | None) -> bool:
+    """Whether a failed read, or what caused it, is a header other than the expected one."""
+    while error is not None:
+        if any(text in str(error) for text in HEADER_MISMATCH):
+            return True
+        error = getattr(error, "_cause", None) or error.__cause__
+    return False
+
+
 def parse_header(line: str, path: str) -> tuple[str, ...]:
     names = tuple(n.strip().lower() for n in next(csv.reader([line.lstrip("\ufeff")]), []))
     if not names or "" in names or len(set(names)) < len(names):
