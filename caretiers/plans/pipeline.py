@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caretiers.config import PipelineConfig
+from caretiers.config import PipelineConfig, remove_dir, scratch_dir
 from caretiers.operators.flatten import blank_missing, flatten_encounters, flatten_patients
 from caretiers.operators.upsert import upsert
 from caretiers.plans.gold import dim_patient, fact_encounter, mart_patient_summary
 from caretiers.plans.silver import silver_encounters, silver_patients
-from caretiers.sources.bundles import read_bundles, resources
+from caretiers.sources.bundles import stage_resources
 from caretiers.sources.delimited import (
     REQUIRED_ENCOUNTER_COLUMNS,
     REQUIRED_PATIENT_COLUMNS,
@@ -24,6 +27,8 @@ from caretiers.sources.landing import land
 from caretiers.sources.tables import append_table, materialize_table, scan
 from caretiers.streaming.bronze import run_all
 
+log = logging.getLogger(__name__)
+
 # Name of each feed in the landing files.
 FEEDS = {
     "api/patients": "api_fhir_patients",
@@ -33,16 +38,31 @@ FEEDS = {
 }
 
 
+def side_by_side(*jobs: Callable[[], None]) -> None:
+    """Run independent jobs at the same time; the first failure is raised after all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for outcome in [pool.submit(job) for job in jobs]:
+            outcome.result()
+
+
+def read_fhir(
+    spark: SparkSession, config: PipelineConfig, staging: str, load_date: date | str | None
+) -> dict[str, DataFrame]:
+    """Flat records of both resource types; unparsable bundles are set aside and reported."""
+    staged = stage_resources(spark, config.fhir_path, staging, config.fhir_multiline)
+    corrupt = staged.where("content IS NOT NULL").select("source_file", "content")
+    if not corrupt.isEmpty():
+        quarantine = f"{config.landing_root}/quarantine"
+        corrupt.write.mode("append").json(quarantine)
+        log.warning("some bundles could not be parsed and were set aside in %s", quarantine)
+    patients = flatten_patients(staged.where("kind = 'Patient'"))
+    encounters = flatten_encounters(staged.where("kind = 'Encounter'"), load_date)
+    return {"api/patients": blank_missing(patients), "api/encounters": blank_missing(encounters)}
+
+
 def land_sources(spark: SparkSession, config: PipelineConfig, load_date: date | str | None) -> None:
     """Flatten, check and stamp the sources, and land each as files of the day."""
     frames: dict[str, DataFrame] = {}
-    if config.fhir_path:
-        for zone, kind, flatten in (
-            ("api/patients", "Patient", flatten_patients),
-            ("api/encounters", "Encounter", flatten_encounters),
-        ):
-            bundles = read_bundles(spark, config.fhir_path, kind, config.fhir_multiline)
-            frames[zone] = blank_missing(flatten(resources(bundles, kind)))
     for zone, path, required in (
         ("csv/patients", config.patients_csv, REQUIRED_PATIENT_COLUMNS),
         ("csv/encounters", config.encounters_csv, REQUIRED_ENCOUNTER_COLUMNS),
@@ -50,8 +70,18 @@ def land_sources(spark: SparkSession, config: PipelineConfig, load_date: date |
         if path:
             rows = require_columns(read_csv_source(spark, path), required, path)
             frames[zone] = require_non_empty(rows, path)
-    for zone, rows in frames.items():
-        land(stamp(rows, FEEDS[zone], config.now), f"{config.landing_root}/{zone}", load_date)
+
+    def landing(zone: str) -> Callable[[], None]:
+        rows = stamp(frames[zone], FEEDS[zone], config.now)
+        return lambda: land(rows, f"{config.landing_root}/{zone}", load_date)
+
+    staging = scratch_dir(spark, "resources")
+    try:
+        if config.fhir_path:
+            frames.update(read_fhir(spark, config, staging, load_date))
+        side_by_side(*[landing(zone) for zone in frames])
+    finally:
+        remove_dir(spark, staging)
 
 
 def build_silver(spark: SparkSession, config: PipelineConfig, as_of: date | str | None) -> None:
@@ -69,14 +99,15 @@ def build_silver(spark: SparkSession, config: PipelineConfig, as_of: date | str
         as_of,
         config.now,
     )
-    for rows, table, key in (
-        (patients, f"{silver}.silver_patients", "patient_id"),
-        (encounters, f"{silver}.silver_encounters", "encounter_id"),
-    ):
-        if config.silver_mode == "upsert":
-            upsert(rows, table, key, ["ingestion_time"], config.upsert_buckets)
-        else:
-            append_table(rows, table)
+    if config.silver_mode == "upsert":
+        order, buckets = ["ingestion_time"], config.upsert_buckets
+        upsert(patients, f"{silver}.silver_patients", "patient_id", order, buckets)
+        upsert(encounters, f"{silver}.silver_encounters", "encounter_id", order, buckets)
+    else:
+        side_by_side(
+            lambda: append_table(patients, f"{silver}.silver_patients"),
+            lambda: append_table(encounters, f"{silver}.silver_encounters"),
+        )
 
 
 def build_gold(spark: SparkSession, config: PipelineConfig) -> None:

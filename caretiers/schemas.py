@@ -6,7 +6,7 @@ CODINGS = "array<struct<code: string, display: string>>"
 
 # Only the fields the flattening reads: the JSON parser skips everything else.
 PATIENT_FIELDS = """
-    id: string, gender: string, birthDate: string,
+    gender: string, birthDate: string,
     name: array<struct<given: array<string>, family: string>>,
     telecom: array<struct<value: string>>,
     identifier: array<struct<type: struct<coding: array<struct<code: string>>>, value: string>>,
@@ -18,7 +18,7 @@ PATIENT_FIELDS = """
     maritalStatus: struct<text: string>
 """
 ENCOUNTER_FIELDS = f"""
-    id: string, status: string,
+    status: string,
     subject: struct<reference: string, display: string>,
     period: struct<start: string, end: string>,
     class: struct<code: string>,
@@ -31,12 +31,10 @@ ENCOUNTER_FIELDS = f"""
 CORRUPT = "_corrupt_record"
 
 
-def bundle_schema(resource_fields: str) -> str:
+def bundle_schema(*resource_fields: str) -> str:
     """DDL of a bundle whose resources carry the given fields."""
-    return (
-        f"entry array<struct<resource: struct<resourceType: string, {resource_fields}>>>, "
-        f"{CORRUPT} string"
-    )
+    fields = ", ".join(("resourceType: string", "id: string", *resource_fields))
+    return f"entry array<struct<resource: struct<{fields}>>>, {CORRUPT} string"
 
 
 # Flattened API records, in output order.

@@ -10,16 +10,16 @@ RESOURCE_FIELDS = {"Patient": PATIENT_FIELDS, "Encounter": ENCOUNTER_FIELDS}
 
 
 def read_bundles(
-    spark: SparkSession, path: str, resource_type: str, multiline: bool = True
+    spark: SparkSession, path: str, *resource_types: str, multiline: bool = True
 ) -> DataFrame:
-    """Bundles of the ``*.json`` files directly inside a folder.
+    """Bundles of the ``*.json`` files directly inside a folder, with the fields of given types.
 
     With ``multiline`` every file holds one document, which one task parses. Large exports
     should be newline-delimited (``multiline=False``): such files split across tasks.
     Columns: ``entry``, the unparsable text (NULL for good bundles) and ``source_file``.
     """
     return (
-        spark.read.schema(bundle_schema(RESOURCE_FIELDS[resource_type]))
+        spark.read.schema(bundle_schema(*[RESOURCE_FIELDS[t] for t in resource_types]))
         .option("multiLine", multiline)
         .option("pathGlobFilter", "*.json")
         .option("mode", "PERMISSIVE")
@@ -38,6 +38,28 @@ def resources(bundles: DataFrame, resource_type: str) -> DataFrame:
     )
 
 
+def stage_resources(spark: SparkSession, path: str, staging: str, multiline: bool = True) -> DataFrame:
+    """Parse bundles once and keep the resources of all known types as parquet.
+
+    Parsing dominates the cost of reading bundles, and every type would parse them again. The
+    result has the type in ``kind``, by which it is partitioned; ``content`` holds the text of
+    an unparsable bundle, on its first row or on a row of its own.
+    """
+    known = list(RESOURCE_FIELDS)
+    bundles = read_bundles(spark, path, *known, multiline=multiline)
+    entries = bundles.select("source_file", CORRUPT, F.posexplode_outer("entry").alias("at", "e"))
+    kind = F.col("e.resource.resourceType")
+    staged = entries.select(
+        "source_file",
+        F.col("e.resource").alias("r"),
+        F.when(F.coalesce("at", F.lit(0)) == 0, F.col(CORRUPT)).alias("content"),
+        F.when(kind.isin(known), kind).otherwise("other").alias("kind"),
+    ).where((F.col("kind") != "other") | F.col("content").isNotNull())
+    schema = staged.schema
+    staged.write.partitionBy("kind").parquet(staging)
+    return spark.read.schema(schema).parquet(staging)
+
+
 def corrupt_bundles(bundles: DataFrame) -> DataFrame:
     """Quarantine: the text that could not be parsed and the file it came from."""
     # ``entry`` keeps the scan from being pruned to the corrupt column alone, which Spark refuses.
