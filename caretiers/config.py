@@ -62,7 +62,7 @@ class DatasetConfig:
     source_path: str
     checkpoint_path: str
     target_table: str
-    max_files_per_trigger: int = 1000
+    max_files_per_trigger: int = 10_000
     max_file_age: str = "3650d"
     multi_line: bool = False
     columns: tuple[str, ...] | None = None
@@ -84,7 +84,11 @@ class Layers:
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """Inputs and outputs of one end-to-end run; a source left ``None`` is skipped."""
+    """Inputs and outputs of one end-to-end run; a source left ``None`` is skipped.
+
+    ``multi_line`` allows line breaks inside CSV values; such files cannot be split.
+    ``upsert_buckets`` should give buckets of some hundred megabytes. ``now`` sets the clock.
+    """
 
     landing_root: str
     checkpoint_root: str
@@ -93,6 +97,7 @@ class PipelineConfig:
     fhir_multiline: bool = True
     patients_csv: str | None = None
     encounters_csv: str | None = None
+    multi_line: bool = False
     layers: Layers = field(default_factory=Layers)
     silver_mode: str = "append"
     upsert_buckets: int = 64
@@ -106,6 +111,7 @@ class PipelineConfig:
                 source_path=f"{self.landing_root}/{source}/{entity}",
                 checkpoint_path=f"{self.checkpoint_root}/raw_{entity}_{source}",
                 target_table=f"{self.layers.bronze}.raw_{entity}_{source}",
+                multi_line=self.multi_line,
             )
             for entity in ("patients", "encounters")
             for source in ("api", "csv")

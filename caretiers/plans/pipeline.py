@@ -68,8 +68,8 @@ def land_sources(spark: SparkSession, config: PipelineConfig, load_date: date |
         ("csv/encounters", config.encounters_csv, REQUIRED_ENCOUNTER_COLUMNS),
     ):
         if path:
-            rows = require_columns(read_csv_source(spark, path), required, path)
-            frames[zone] = require_non_empty(rows, path)
+            rows = require_non_empty(read_csv_source(spark, path, config.multi_line), path)
+            frames[zone] = require_columns(rows, required, path)
 
     def landing(zone: str) -> Callable[[], None]:
         rows = stamp(frames[zone], FEEDS[zone], config.now)

@@ -7,7 +7,6 @@ zones with a declared layout; it refuses files with another header.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
@@ -22,6 +21,7 @@ from caretiers.streaming.layouts import (
     Layout,
     LayoutRegistry,
     evolve_schema,
+    first_header,
     is_header_mismatch,
     read_by_header,
     read_headers,
@@ -116,18 +116,28 @@ def _ingest_files(
 ) -> None:
     """Read the files of a micro-batch and write their rows.
 
-    The files are first read with the header of the last batch, which Spark compares with theirs
-    while it reads them. Only when one differs are the headers looked up and the files read in
-    groups of equal headers; what the first attempt wrote was never committed.
+    While files share one header, each is read once: with the header of the files before, which
+    Spark compares with theirs as it reads them. Only when one differs are all headers looked up
+    and the files read in groups of equal headers; what the first attempt wrote was never
+    committed. After a mixed micro-batch the next one starts with the look-up.
     """
     registry = LayoutRegistry(spark, f"{config.checkpoint_path.rstrip('/')}/_layout")
-    layout = registry.layout
-    if layout.header:
-        _prepare_table(spark, config.target_table, evolve_schema(layout.columns, [LANDING_DAY]))
+    known = registry.layout
+    header = known.header
+    if not known.columns:
+        header = first_header(spark, paths[0])
+
+    def register(found: Iterable[tuple[str, ...]], shared: tuple[str, ...]) -> None:
+        columns: Sequence[str] = known.columns
+        for names in found:
+            columns = evolve_schema(columns, names)
+        _prepare_table(spark, config.target_table, evolve_schema(columns, [LANDING_DAY]))
+        registry.save(Layout(tuple(columns), shared))
+
+    if header:
+        register([header], header)
         try:
-            rows = read_layout(
-                spark, paths, layout.header, strict=True, multi_line=config.multi_line
-            )
+            rows = read_layout(spark, paths, header, strict=True, multi_line=config.multi_line)
             _write(rows, config, at, batch)
             return
         except Exception as error:
@@ -135,14 +145,8 @@ def _ingest_files(
                 raise
 
     headers = read_headers(spark, paths)
-    if not headers:
-        return
-    frequent = Counter(headers.values()).most_common(1)[0][0]
-    columns = layout.columns
-    for header in headers.values():
-        columns = evolve_schema(columns, header)
-    _prepare_table(spark, config.target_table, evolve_schema(columns, [LANDING_DAY]))
-    registry.save(Layout(tuple(columns), frequent))
+    distinct = list(dict.fromkeys(headers.values()))
+    register(distinct, distinct[0] if len(distinct) == 1 else ())
     _write(read_by_header(spark, headers, config.multi_line), config, at, batch)
 
 

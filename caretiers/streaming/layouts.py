@@ -34,7 +34,7 @@ def evolve_schema(registered: Sequence[str], observed: Sequence[str]) -> list[st
 
 @dataclass(frozen=True)
 class Layout:
-    """All columns of a dataset, and the header its last files had."""
+    """All columns of a dataset, and the header its last files shared, empty if they differed."""
 
     columns: tuple[str, ...] = ()
     header: tuple[str, ...] = ()
@@ -88,6 +88,12 @@ def parse_header(line: str, path: str) -> tuple[str, ...]:
     return names
 
 
+def first_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Header of one file; reads no more than its beginning."""
+    lines = spark.read.text(path).limit(1).collect()
+    return parse_header(lines[0]["value"] if lines else "", path)
+
+
 def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
     """Header of each file, found by a distributed scan for the files' first lines.
 

@@ -97,6 +97,27 @@ def test_headers_may_grow_shrink_and_move(spark, config):
     assert registry.layout.columns == ("id", "first", "last", "zip")
 
 
+def test_after_mixed_headers_the_attempt_is_skipped_once(spark, config, monkeypatch):
+    reads = []
+    read = bronze.read_layout
+    monkeypatch.setattr(bronze, "read_layout", lambda *a, **k: reads.append(a[1]) or read(*a, **k))
+
+    def run(day, *texts):
+        for i, text in enumerate(texts):
+            drop_file(config, day, f"{i}.csv", text)
+        run_all(spark, [config], NOW)
+        attempts = len(reads)
+        reads.clear()
+        return attempts, LayoutRegistry(spark, f"{config.checkpoint_path}/_layout").layout.header
+
+    assert run("2024-01-01", "id,a\n1,x\n", "a,id\ny,2\n") == (1, ())
+    assert run("2024-01-02", "a,id\ny,3\n", "a,id\nz,4\n") == (0, ("a", "id"))
+    assert run("2024-01-03", "a,id\ny,5\n") == (1, ("a", "id"))
+    assert rows(spark.table(config.target_table), "id", "a") == [
+        ("1", "x"), ("2", "y"), ("3", "y"), ("4", "z"), ("5", "y"),
+    ]
+
+
 def test_landing_day_in_the_path_wins_over_one_in_the_data(spark, config):
     drop_file(config, "2024-01-01", "a.csv", "id,load_date,first\n1,1999-09-09,Ann\n")
     run_all(spark, [config], NOW)

@@ -403,8 +403,8 @@ def mart_patient_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gold.mart_patient_summary(dim, fact))
 
 
-@query("pipeline_end_to_end")
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("landing_to_mart")
+def landing_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily runs from bundles and extracts to the mart, with silver appended as usual."""
     root = scratch_dir(spark, "pipeline")
     suffix = uuid.uuid4().hex
