@@ -25,6 +25,7 @@ def latest_by(
     Rows with a NULL key form one group. Spark turns the rank filter into a group limit before the
     shuffle, so a task sends at most one row per key, however often a key repeats.
     """
-    ordering = newest_first([*order, *tie_breakers, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ordering = newest_first([*order, *tie_breakers, row_hash])
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")

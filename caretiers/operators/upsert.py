@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from caretiers.config import remove_dir, scratch_dir
 from caretiers.operators.latest import latest_by
@@ -57,32 +57,38 @@ def upsert(
         )
         return
 
-    # The batch is read three times below (buckets, keys, rows): computed once, stored, re-read.
+    slots = published_slots(spark, name)
+    if slots is None:
+        _write_buckets(newest.withColumn(BUCKET, bucket_of(key, buckets)), name, "a" * buckets)
+        return
+    # The batch is read three times below (buckets, rows, keys): computed once, stored, re-read.
     staged = scratch_dir(spark, "upsert")
     newest.write.parquet(staged)
     try:
-        _rewrite_buckets(spark.read.parquet(staged), name, key, buckets)
+        _rewrite_buckets(spark.read.parquet(staged), name, key, slots)
     finally:
         remove_dir(spark, staged)
 
 
-def _rewrite_buckets(batch: DataFrame, name: str, key: str, buckets: int) -> None:
-    spark = batch.sparkSession
-    slots = published_slots(spark, name)
-    buckets = len(slots) if slots else buckets
-    columns = batch.columns
-    batch = batch.withColumn(BUCKET, F.pmod(F.hash(key), F.lit(buckets)))
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.hash(key), F.lit(buckets))
+
+
+def _rewrite_buckets(batch: DataFrame, name: str, key: str, slots: str) -> None:
+    batch = batch.withColumn(BUCKET, bucket_of(key, len(slots)))
     touched = sorted(r[BUCKET] for r in batch.select(BUCKET).distinct().collect())
-    rewritten = list(slots or "b" * buckets)
+    rewritten = list(slots)
     for number in touched:
         rewritten[number] = other_slot(rewritten[number])
+    target = live_rows(batch.sparkSession, name, slots).where(F.col(BUCKET).isin(touched))
+    _write_buckets(merge_rows(target, batch, key), name, "".join(rewritten))
+
 
-    rows = batch
-    if slots:
-        target = live_rows(spark, name, slots).where(F.col(BUCKET).isin(touched))
-        rows = merge_rows(target, batch, key)
-    slot = F.substring(F.lit("".join(rewritten)), F.col(BUCKET) + 1, F.lit(1))
+def _write_buckets(rows: DataFrame, name: str, slots: str) -> None:
+    """Write the rows' buckets into the given slots and publish them."""
+    columns = [c for c in rows.columns if c != BUCKET]
+    slot = F.substring(F.lit(slots), F.col(BUCKET) + 1, F.lit(1))
     # Rows of a bucket meet in few tasks, or every task would write a file into every bucket;
     # a rebalance still splits a bucket that is too large for one task.
     write_slots(rows.withColumn(SLOT, slot).hint("rebalance", BUCKET), name, columns)
-    publish(spark, name, columns, "".join(rewritten))
+    publish(rows.sparkSession, name, columns, slots)

@@ -38,7 +38,9 @@ def resources(bundles: DataFrame, resource_type: str) -> DataFrame:
     )
 
 
-def stage_resources(spark: SparkSession, path: str, staging: str, multiline: bool = True) -> DataFrame:
+def stage_resources(
+    spark: SparkSession, path: str, staging: str, multiline: bool = True
+) -> DataFrame:
     """Parse bundles once and keep the resources of all known types as parquet.
 
     Parsing dominates the cost of reading bundles, and every type would parse them again. The

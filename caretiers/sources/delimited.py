@@ -14,7 +14,9 @@ REQUIRED_PATIENT_COLUMNS = ("id", "first")
 REQUIRED_ENCOUNTER_COLUMNS = ("id", "patient")
 
 
-def csv_reader(spark: SparkSession, strict: bool = True, multi_line: bool = False) -> DataFrameReader:
+def csv_reader(
+    spark: SparkSession, strict: bool = True, multi_line: bool = False
+) -> DataFrameReader:
     """Reader for comma-separated files with a header and doubled quotes.
 
     A strict reader fails when a file's header differs from the schema. A lax one binds columns

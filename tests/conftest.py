@@ -40,5 +40,5 @@ def plan_of(df):
 
 def rows(df, *columns):
     """Rows as a sorted list of tuples; NULLs sort first."""
-    found = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in found.collect()), key=lambda r: [(v is not None, v) for v in r])
+    found = (df.select(*columns) if columns else df).collect()
+    return sorted(map(tuple, found), key=lambda r: [(v is not None, v) for v in r])

@@ -101,7 +101,7 @@ FROM (
 """
 
 # API encounters: all orders on day 1. On day 2 all orders come again: open ones as a new version,
-# the others as a follow-up visit that has no billing. Some times are missing, malformed or reversed.
+# the others as a follow-up visit without billing. Some times are missing, malformed or reversed.
 ENC_API = """
 SELECT encounter_id, status, patient_id, patient_name,
        start_text AS start_time,
