@@ -29,6 +29,7 @@ EXTENSION_KINDS = (
     "quality-adjusted-life-years",
 )
 
+# Fixed value: what precedes the id in a reference to another resource.
 REFERENCE_PREFIX = "urn:uuid:"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from caretiers.functions import instant
 
-# Columns an extract cannot do without.
+# Columns an extract cannot do without.
 REQUIRED_PATIENT_COLUMNS = ("id", "first")
 REQUIRED_ENCOUNTER_COLUMNS = ("id", "patient")
 

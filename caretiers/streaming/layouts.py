@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -12,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from caretiers.schemas import SOURCE_FILE
 from caretiers.sources.delimited import csv_reader
 
 REGISTRY_SCHEMA = "version int, columns array<string>, header array<string>"
@@ -88,9 +90,14 @@ def parse_header(line: str, path: str) -> tuple[str, ...]:
     return names
 
 
+def literal_path(path: str) -> str:
+    """Path that is not taken for a pattern when a reader opens it."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def first_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Header of one file; reads no more than its beginning."""
-    lines = spark.read.text(path).limit(1).collect()
+    lines = spark.read.text(literal_path(path)).limit(1).collect()
     return parse_header(lines[0]["value"] if lines else "", path)
 
 
@@ -102,7 +109,7 @@ def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[s
     """
     own = spark.newSession()
     own.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
-    lines = own.read.text(list(paths)).select(
+    lines = own.read.text([literal_path(p) for p in paths]).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -117,7 +124,8 @@ def read_layout(
 ) -> DataFrame:
     """Files of one layout as text columns, with the path of each row's file."""
     reader = csv_reader(spark, strict, multi_line).schema(text_schema(header))
-    return reader.csv(list(paths)).select("*", F.col("_metadata.file_path").alias("_source_file"))
+    rows = reader.csv([literal_path(p) for p in paths])
+    return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def read_by_header(

@@ -118,6 +118,13 @@ def test_after_mixed_headers_the_attempt_is_skipped_once(spark, config, monkeypa
     ]
 
 
+def test_file_names_are_not_patterns(spark, config):
+    drop_file(config, "2024-01-01", "a[1] {x}.csv", "id,a\n1,x\n")
+    drop_file(config, "2024-01-01", "a1 x.csv", "a,id\ny,2\n")
+    run_all(spark, [config], NOW)
+    assert rows(spark.table(config.target_table), "id", "a") == [("1", "x"), ("2", "y")]
+
+
 def test_landing_day_in_the_path_wins_over_one_in_the_data(spark, config):
     drop_file(config, "2024-01-01", "a.csv", "id,load_date,first\n1,1999-09-09,Ann\n")
     run_all(spark, [config], NOW)
