@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, token_counts
+from . import quality_rules, substring_dedup, token_counts
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,13 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
