@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, substring_dedup, token_counts
+from . import ngram_join, quality_rules, substring_dedup, token_counts
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+@query
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
