@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join, quality_rules, substring_dedup, token_counts
+from . import line_dedup, ngram_join, quality_rules, substring_dedup, token_counts
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,14 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.remove_later_lines(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_lines", "n_removed", "n_chars", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
