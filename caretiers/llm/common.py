@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A shared folder holds the scratch tables of one session; `release` removes those already used.
+#: Scratch tables made so far.
 _made: list[str] = []
 
 #: Memory that a Python worker may spend on remembered words, as a number of entries.
@@ -40,12 +40,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Removes the scratch tables made so far. Call it once everything built on them is written."""
+def made_so_far() -> list[str]:
+    return list(_made)
+
+
+def release(spark: SparkSession, keep: list[str]) -> None:
+    """Removes the scratch tables but those to keep, once everything built on them is written."""
     jvm = spark.sparkContext._jvm
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for made in [m for m in _made if m not in keep]:
+        path = jvm.org.apache.hadoop.fs.Path(made)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _made.remove(made)
 
 
 def partitions_for(spark: SparkSession, size: int, each: int) -> int:
