@@ -127,7 +127,7 @@ def votes(text: str, kind: str, start: int, end: int, valid: bool) -> tuple[list
     span = text[start:end]
     digits = _NOT_DIGIT.sub("", span)
     before = [w.lower() for w in _WORD.findall(text[max(0, start - 60) : start])[-4:]]
-    form = 1 if kind in BASE or kind in ("email_written", "id_number") else 0
+    form = 1 if kind in ("email", "email_written", "id_number") else 0
     check = 0
     if kind in ("ip", "card", "phone"):
         check = 1 if valid else -1
@@ -148,7 +148,7 @@ def votes(text: str, kind: str, start: int, end: int, valid: bool) -> tuple[list
         words = -1 if span.startswith(("0.", "127.")) else 0
     context = 1 if any(w in NEAR[kind] for w in before) else -1 if any(w in AGAINST for w in before) else 0
     variety = len(set(digits))
-    even = 0 if kind in ("email", "email_written", "name") else 1 if variety >= 4 else -1 if variety <= 2 else 0
+    even = 0 if kind in ("email", "email_written", "name") else -1 if variety <= 2 else 0
     edge = (start == 0 or text[start - 1].isspace()) + 2 * (end == len(text) or not (text[end].isalnum() or text[end] in "-_/"))
     return [form, check, words, context, even], edge
 
