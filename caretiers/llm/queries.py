@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, personal_data, quality_rules, substring_dedup, token_counts
+from . import decontaminate, line_dedup, ngram_join, packing, page_text, personal_data, quality_rules, substring_dedup, token_counts
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents")).drop("base_spans")
