@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, page_text, personal_data, quality_rules, substring_dedup, token_counts
+from . import decontaminate, line_dedup, ngram_join, packing, page_text, personal_data, quality_rules, secret_scan, substring_dedup, token_counts
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,14 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents")).drop("base_spans")
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "word_no", "n_chars", F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret"
+    )
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated(table(spark, sf_dir, "documents")).select(
