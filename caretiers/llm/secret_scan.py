@@ -59,14 +59,14 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, source, word_no, value, assigned, before, cue): words that may be secrets.
 
     A candidate has 12 characters or more of those that keys are made of and a digit among them, or
-    is the value given to a name such as password. Texts without a digit or such a name are passed
-    over after one look.
+    16 capitals, or is the value given to a name such as password. Texts without any of these are
+    passed over after one look.
     """
     named = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text")
-    worth = named.filter(F.col("text").rlike(r"[0-9]") | F.col("text").rlike(NAME + r"[\"']?[ \t]*[:=]"))
+    worth = named.filter(F.col("text").rlike(r"[0-9]|[A-Z]{16}") | F.col("text").rlike(NAME + r"[\"']?[ \t]*[:=]"))
     words = worth.select("doc_id", "source", F.split("text", SPACE).alias("w"))
     parts = F.transform("w", lambda w, k: F.struct(w.alias("w"), k.alias("k")))
-    looks = lambda w: w.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z0-9_+/=-]{12})") | w.rlike(NAME + r"[\"']?[:=]")
+    looks = lambda w: w.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z0-9_+/=-]{12})|[A-Z]{16}") | w.rlike(NAME + r"[\"']?[:=]")
     # name = "value" in three words: the name and the sign are looked for behind the value.
     behind = lambda w, k: (k >= 2) & F.try_element_at("w", k).isin("=", ":", ":=") & F.try_element_at("w", F.greatest(k - 1, F.lit(1))).rlike(NAME + r"[\"']?$")
     picked = words.select("doc_id", "source", "w", F.explode(F.filter(parts, lambda p: looks(p["w"]) | behind(p["w"], p["k"]))).alias("p"))
