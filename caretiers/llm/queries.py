@@ -90,3 +90,80 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "distance",
     )
+
+
+WORDS = r"[^\x20\x09-\x0D]+"
+
+ORACLE["op5_substring_dedup"] = f"""
+WITH numbered AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents
+), windows AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS body
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM numbered WHERE len(w) >= 35)
+), repeated AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY body) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT r, i + k AS i FROM repeated, (SELECT unnest(range(0, 35)) AS k)
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM numbered
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS body
+  FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM numbered LEFT JOIN kept USING (r)
+"""
+
+ORACLE["op8_ngram_jaccard"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '{WORDS}') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * k >= 90 * (p.n + q.n - k)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS c FROM sizes UNION SELECT l.b, r.c FROM reached r JOIN links l ON l.a = r.a
+), least AS (SELECT a, min(c) AS c FROM reached GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = doc_id
+"""
+
+ORACLE["op9_line_dedup"] = f"""
+WITH texts AS (
+  SELECT DISTINCT doc_id, coalesce(doc_id, 9223372036854775807) AS o, md5(coalesce(text, '')) AS m, coalesce(text, '') AS text
+  FROM documents
+), numbered AS (SELECT row_number() OVER (ORDER BY o, m) AS d, * FROM texts
+), pieces AS (
+  SELECT d, k, line, len(regexp_extract_all(line, '{WORDS}')) AS n
+  FROM (SELECT d, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM numbered)
+), lines AS (
+  SELECT d, list(line ORDER BY k) AS l, list(n ORDER BY k) AS c FROM pieces WHERE n > 0 GROUP BY d
+), runs AS (
+  SELECT d, i, j, array_to_string(l[i:j], chr(10)) AS body
+  FROM (SELECT d, l, c, i, unnest(range(i, least(i + 10, len(l) + 1))) AS j
+        FROM (SELECT d, l, c, unnest(range(1, len(l) + 1)) AS i FROM lines))
+  WHERE list_sum(c[i:j]) >= 10
+), later AS (
+  SELECT d, i, j FROM (SELECT d, i, j, row_number() OVER (PARTITION BY body ORDER BY d, i) AS rn FROM runs) WHERE rn > 1
+), gone AS (
+  SELECT DISTINCT d, unnest(range(i, j + 1)) AS s FROM later
+), placed AS (
+  SELECT d, k, line, n, CASE WHEN n > 0 THEN sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY d ORDER BY k) END AS s FROM pieces
+), cut AS (
+  SELECT p.d, count(*) FILTER (n > 0) AS n_lines, count(g.s) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (g.s IS NULL), '') AS body
+  FROM placed p LEFT JOIN gone g ON g.d = p.d AND g.s = p.s GROUP BY p.d
+)
+SELECT x.doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed,
+       CASE WHEN n_removed > 0 THEN CAST(length(body) AS BIGINT) ELSE x.n_chars END AS n_chars,
+       sha256(body) AS text_sha256
+FROM documents x JOIN numbered y ON y.o = coalesce(x.doc_id, 9223372036854775807) AND y.m = md5(coalesce(x.text, '')) JOIN cut USING (d)
+"""
