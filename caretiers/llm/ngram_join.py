@@ -6,9 +6,9 @@ first, so few documents share a token by chance. Candidates come from the first
 a token under the others too before the whole sets are compared.
 
 Equal sets are one class from the start. Classes that share a prefix token are first compared with
-one of them, drawn anew for each token; the components found so far then make most other pairs of a large
-group unnecessary, and only pairs between different components are compared in the second phase.
-No link between components is lost.
+one of them; the components found so far then make most other pairs of a large group unnecessary,
+and only pairs between different components are compared in the second phase. No link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -136,37 +136,51 @@ def _fits(a: Column, b: Column, num: int, den: int) -> Column:
     return (F.least(a, b) * den) >= (F.greatest(a, b) * num)
 
 
-def _filtered(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share prefix tokens under the other orders as well."""
-    left = heads.select(F.col("id").alias("a"), F.col("p1").alias("a1"), F.col("p2").alias("a2"))
-    right = heads.select(F.col("id").alias("b"), F.col("p1").alias("b1"), F.col("p2").alias("b2"))
+#: Ids up to this number are broadcast to pick rows; more are joined by shuffle.
+BROADCAST_IDS = 500_000
+
+
+def _picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ids (distinct, materialized). Texts are not shuffled for few ids."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+
+
+def _filtered(pairs: DataFrame, ends: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of fitting sizes that share prefix tokens under the other orders as well."""
+    heads = _picked(found.select(F.col("doc_id").alias("id"), "size", "p1", "p2"), ends).distinct()
+    left = heads.select(F.col("id").alias("a"), F.col("size").alias("sa"), F.col("p1").alias("a1"), F.col("p2").alias("a2"))
+    right = heads.select(F.col("id").alias("b"), F.col("size").alias("sb"), F.col("p1").alias("b1"), F.col("p2").alias("b2"))
     return (
         pairs.join(left, "a")
         .join(right, "b")
-        .filter(F.arrays_overlap("a1", "b1") & F.arrays_overlap("a2", "b2"))
+        .filter(_fits(F.col("sa"), F.col("sb"), num, den) & F.arrays_overlap("a1", "b1") & F.arrays_overlap("a2", "b2"))
         .select("a", "b")
+        .distinct()
     )
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(id, tokens): whole sets of the classes wanted (id, set)."""
+def _sets_of(docs: DataFrame, ends: DataFrame, n: int, repeated: bool) -> DataFrame:
+    """(id, tokens): whole sets of the documents with the given ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(n)
         for batch in batches:
             found = [shingles(t).tobytes() for t in raw_texts(batch)]
-            keep = [k for k, (f, s) in enumerate(zip(found, batch.column("set").to_pylist(), strict=True)) if digest(f) == s]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(keep, pa.int64())), pa.array([found[k] for k in keep], pa.binary())],
-                ["id", "tokens"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "tokens"])
 
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id").select("id", "set", "text")
-    # The same id may stand on several rows; those with the set of the class are all alike.
-    return materialize(rows.mapInArrow(run, "id long, tokens binary").dropDuplicates(["id"]), "tokens")
+    rows = _picked(docs.select(F.col("doc_id").alias("id"), "text"), ends)
+    sets = rows.mapInArrow(run, "id long, tokens binary")
+    # Only where ids stand on several rows do equal sets have to be thrown together.
+    return materialize(sets.distinct() if repeated else sets, "tokens")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, repeated: bool) -> DataFrame:
+    """Pairs (materialized) whose whole sets overlap enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -177,53 +191,56 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                     keep.append(k)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
+    sets = _sets_of(docs, _ends(pairs), n, repeated)
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return materialize(joined.mapInArrow(run, "a long, b long").distinct(), "links")
+
+
+#: Members that a group of classes is compared with in the first phase.
+CENTRES = 4
 
 
 def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their class, links between classes, and components of the classes.
 
     Classes are named by their least doc_id. Sets a and b are linked when den * |a & b| is at least
-    num * |a | b|. All links between different components of the first phase are found, and in the
-    first phase the links to the classes drawn; both together have the components of all links.
+    num * |a | b|. The links have the components of all links: the first phase compares every class
+    with a few members of each group that shares a prefix token, the second all pairs that share one
+    and are still in different components.
     """
     found = classes(docs, n, num, den)
     named = found.filter(F.col("set").isNotNull() & F.col("doc_id").isNotNull())
-    heads = materialize(
-        named.groupBy("set").agg(
-            F.min("doc_id").alias("id"), F.first("size").alias("size"), *[F.first(f"p{k}").alias(f"p{k}") for k in range(ORDERS)]
-        ),
-        "classes",
-    )
-    entries = heads.select("id", "size", F.explode("p0").alias("token"))
-    # Every token draws one of its classes, by a hash: a large group thus has many centres.
+    repeated = not named.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    heads = named.groupBy("set").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("p0").alias("p0"))
+    heads = materialize(heads, "classes")
+    entries = heads.select("id", F.explode("p0").alias("token"))
+    # Every token draws a class by one of a few orders of the ids: the least id after flipping some
+    # bits. Large groups thus have a few centres, and two numbers per token and task are shuffled.
+    flips = [int(x) for x in mix(np.arange(1, CENTRES + 1, dtype=np.uint64)) >> np.uint64(1)]
+    flip = F.element_at(F.array(*[F.lit(x) for x in flips]), (F.pmod("token", F.lit(CENTRES)) + 1).cast("int"))
     drawn = (
-        entries.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id", "token").alias("h"), "id", "size")).alias("d"))
-        .filter("n > 1")
-        .select("token", F.col("d.id").alias("centre"), F.col("d.size").alias("centre_size"))
+        entries.withColumn("x", F.col("id").bitwiseXOR(flip))
+        .groupBy("token")
+        .agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .filter("lo < hi")
+        .select("token", F.col("lo").bitwiseXOR(flip).alias("centre"))
     )
     shared = materialize(entries.join(drawn, "token"), "shared")
-    stars = (
-        shared.filter((F.col("id") != F.col("centre")) & _fits(F.col("size"), F.col("centre_size"), num, den))
-        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-        .distinct()
-    )
-    stars = materialize(_filtered(stars, heads.select("id", "p1", "p2")), "stars")
-    wanted = shared.select("id").distinct().join(heads.select("id", "set"), "id")
-    sets = _sets_of(docs, wanted, n)
-    links = materialize(_verified(stars, sets, num, den), "links")
+    stars = shared.filter(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+    stars = materialize(stars.distinct(), "stars")
+    tried = materialize(_filtered(stars, _ends(stars), found, num, den), "tried")
+    links = _verified(docs, tried, n, num, den, repeated)
     first = components(links)
     # Second phase: only between components, and only under tokens that several components share.
-    placed = shared.select("token", "id", "size").join(first.withColumnRenamed("node", "id"), "id", "left").select(
-        "token", "id", "size", F.coalesce("component", "id").alias("c")
-    )
-    mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
-    open_ = materialize(placed.join(mixed, "token"), "open")
-    left = open_.select("token", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("c").alias("ca"))
-    right = open_.select("token", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("c").alias("cb"))
+    placed = shared.select("token", "id").join(first.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.join(heads.select("id", "size"), "id").select("token", "id", "size", F.coalesce("component", "id").alias("c"))
+    placed = materialize(placed, "placed")
+    several = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
+    placed = materialize(placed.join(several, "token"), "open")
+    left = placed.select("token", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("c").alias("ca"))
+    right = placed.select("token", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("c").alias("cb"))
     pairs = (
         left.join(right, "token")
         .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("sa"), F.col("sb"), num, den))
@@ -231,8 +248,9 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    more = _verified(materialize(_filtered(pairs, heads.select("id", "p1", "p2")), "pairs"), sets, num, den)
-    links = materialize(links.unionByName(more), "links")
+    pairs = materialize(pairs, "pairs")
+    more = materialize(_filtered(pairs, _ends(pairs), found, num, den), "tried")
+    links = links.unionByName(_verified(docs, more, n, num, den, repeated))
     return found.join(heads.select("set", "id"), "set", "left").select("doc_id", "size", "id"), links, components(links)
 
 
@@ -242,7 +260,7 @@ def join_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     Words are runs without ASCII white space, A-Z lower-cased. Shorter texts are one shingle, texts
     without words (or null) have none and are alone. component_id is the least doc_id that links
     reach, class_id the least with an equal set. A null doc_id takes no part and has null ids.
-    Repeated rows share a class. Other columns are not read.
+    Repeated rows share a class; rows with one id and different texts are one node of the graph. Other columns are not read.
     """
     members, _, found = linked(docs, n, num, den)
     return members.join(found.withColumnRenamed("node", "id"), "id", "left").select(
