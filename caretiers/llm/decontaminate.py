@@ -96,7 +96,7 @@ def walk_samples(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Match:
-    item: int
+    item: int | None
     first: int
     distance: int
 
@@ -195,7 +195,7 @@ class Matcher:
                 rows.append(ids[first : first + size])
         for at in range(0, len(rows), 256):
             self._probe(rows[at : at + 256], laid[at : at + 256], kept, out)
-        return [sorted(o.values(), key=lambda m: m.item) for o in out]
+        return [[o[item] for item in sorted(o)] for o in out]
 
     def _probe(self, rows: list[np.ndarray], laid: list[tuple[int, int, int]], texts: dict[int, np.ndarray], out: list[dict[int, Match]]) -> None:
         sizes = np.array([size for _, _, size in laid], np.int64)
@@ -213,9 +213,8 @@ class Matcher:
             begin = max(0, first - edits)
             part = texts[doc][begin : first + size + edits]
             distance, end = substring_distance(self.words[item], part)
-            name = self.names[item]
-            if distance <= edits and (name not in out[doc] or distance < out[doc][name].distance):
-                out[doc][name] = Match(name, max(0, begin + end - int(self.sizes[item])), distance)
+            if distance <= edits and (item not in out[doc] or distance < out[doc][item].distance):
+                out[doc][item] = Match(self.names[item], max(0, begin + end - int(self.sizes[item])), distance)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Matcher]:

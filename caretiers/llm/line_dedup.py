@@ -136,19 +136,24 @@ def remove_later_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     empty texts stay as they are. n_chars, where docs has it, is that of the new text. Columns named
     n_lines or n_removed are replaced; all others are passed on.
     """
-    gone = repeated_lines(docs, min_words).withColumnsRenamed({c: f"__{c}" for c in ("ord", "key", "gone")})
+    gone = repeated_lines(docs, min_words)
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    own = docs.select(*names, F.coalesce("doc_id", F.lit(2**63 - 1)).alias("__o"), text_key(F.col("text")).alias("__k"))
-    joined = own.join(gone, (F.col("__o") == F.col("__ord")) & (F.col("__k") == F.col("__key")), "left").select(*names, "__gone")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"),
+        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"),
+        text_key(F.col("text")).alias("key"),
+    )
+    joined = own.join(gone, ["ord", "key"], "left").select("doc", "gone")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
     at = names.index("text")
     chars = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, totals, removed, sizes = [], [], [], []
-            old = batch.column(at).cast("binary").to_pylist()
-            for text, ranges in zip(old, batch.column("__gone").to_pylist(), strict=True):
+            columns = batch.column("doc").flatten()
+            old = columns[at].cast("binary").to_pylist()
+            for text, ranges in zip(old, batch.column("gone").to_pylist(), strict=True):
                 lines, n = [], 0
                 drop = {k for r in ranges or () for k in range(r["first"], r["first"] + r["count"])}
                 for line in (text or b"").split(b"\n"):
@@ -162,7 +167,6 @@ def remove_later_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
                 totals.append(n)
                 removed.append(len(drop))
                 sizes.append(len(texts[-1]) if drop else None)
-            columns = [batch.column(k) for k in range(len(names))]
             columns[at] = pa.array(texts, columns[at].type)
             if chars is not None:
                 before = columns[chars].to_pylist()

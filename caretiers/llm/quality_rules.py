@@ -245,8 +245,6 @@ def keep_good(docs: DataFrame, radius: float = RADIUS) -> DataFrame:
     shuffled or stored.
     """
     fitted = fit(materialize(with_statistics(docs, ["lang", "source"]), "stats"))
-    named = docs.select("*", *[F.col(c).alias(f"__{c}") for c in ("lang", "source")])
-    judged = with_statistics(named, named.columns)
-    own = judged.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns})
-    own = own.withColumnsRenamed({"__lang": "lang", "__source": "source"})
-    return with_verdict(own, fitted, radius).filter("kept").select(*[F.col(f"__own_{c}").alias(c) for c in docs.columns])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text", "lang", "source")
+    judged = with_verdict(with_statistics(whole, ["doc", "lang", "source"]), fitted, radius)
+    return judged.filter("kept").select("doc.*")
