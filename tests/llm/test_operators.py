@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import documents
+from helpers import documents, odd_rows, shipped  # noqa: F401
 from pyspark.sql import functions as F
 
 from caretiers.llm import (
