@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 _made: list[str] = []
 
 #: Memory that a Python worker may spend on remembered words, as a number of entries.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
+#: Rows per Arrow batch, unless the session says otherwise: rows with whole texts are large.
+BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -163,7 +166,10 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once per application, so that their workers can import it."""
+    """Prepares a session, once per application: sends this package to the executors' Python workers and
+    bounds the batches they get."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

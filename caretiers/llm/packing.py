@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from .common import CACHE_WORDS, raw_texts
 WINDOW = 2048
 END_ID = 1
 #: Text bytes per shard: what a task holds at a time.
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 4_000_000
 #: A seed is looked up by its terms of the highest weight, and asks for so many neighbours at a time.
 QUERY_TERMS, NEIGHBOURS = 48, 24
 K1, B = 1.2, 0.75
@@ -63,20 +63,21 @@ def word_ids(path: str) -> WordIds:
 
 
 class Bm25:
-    """Inverted index over the documents of a shard, given as lists of words."""
+    """Inverted index over the documents of a shard, given as lists of words one after another."""
 
-    def __init__(self, docs: list[list[bytes]]):
+    def __init__(self, docs: Iterable[list[bytes]]):
         terms: dict[bytes, int] = {}
-        flat = [np.fromiter((terms.setdefault(w, len(terms)) for w in d), np.int64, len(d)) for d in docs]
-        self.size = len(docs)
-        length = np.array([len(d) for d in docs], float)
-        norm = K1 * (1 - B + B * length / max(length.mean(), 1)) if len(docs) else length
-        owner = np.repeat(np.arange(len(docs)), length.astype(int))
-        key, count = np.unique((np.concatenate(flat) if flat else np.empty(0, np.int64)) * max(len(docs), 1) + owner, return_counts=True)
-        term, self.doc = np.divmod(key, max(len(docs), 1))
+        flat = [np.fromiter((terms.setdefault(w, len(terms)) for w in d), np.int32, len(d)) for d in docs]
+        self.size = size = len(flat)
+        length = np.array([len(d) for d in flat], float)
+        norm = K1 * (1 - B + B * length / max(length.mean(), 1)) if size else length
+        owner = np.repeat(np.arange(size), length.astype(int))
+        key = (np.concatenate(flat) if flat else np.empty(0, np.int32)).astype(np.int64) * max(size, 1) + owner
+        key, count = np.unique(key, return_counts=True)
+        term, self.doc = np.divmod(key, max(size, 1))
         df = np.bincount(term, minlength=len(terms))
         self.begin = np.concatenate(([0], np.cumsum(df)))
-        idf = np.log(1 + (len(docs) - df + 0.5) / (df + 0.5))
+        idf = np.log(1 + (size - df + 0.5) / (df + 0.5))
         self.weight = idf[term] * count * (K1 + 1) / (count + norm[self.doc])
         # Terms of each document by falling weight, among those that another document has.
         order = np.lexsort((-self.weight, self.doc))
@@ -140,10 +141,9 @@ class _Windows:
 
 def pack_shard(texts: list[bytes], ids: WordIds, window: int) -> tuple[list[bytes], list[tuple[int, int, int, int, int]]]:
     """Ids of each text and the pieces that fill windows."""
-    words = [t.split() for t in texts]
     end = np.array([END_ID], "<u4").tobytes()
-    tokens = [b"".join(map(ids.__getitem__, w)) + end for w in words]
-    index = Bm25([t.lower().split() for t in texts])
+    tokens = [b"".join(map(ids.__getitem__, t.split())) + end for t in texts]
+    index = Bm25(t.lower().split() for t in texts)
     windows = _Windows([len(t) // 4 for t in tokens], window)
     free = np.ones(len(texts), bool)
     cursor = 0
