@@ -83,7 +83,7 @@ class Bm25:
         order = np.lexsort((-self.weight, self.doc))
         order = order[df[term[order]] > 1]
         self.terms = term[order]
-        self.at = np.searchsorted(self.doc[order], np.arange(len(docs) + 1))
+        self.at = np.searchsorted(self.doc[order], np.arange(size + 1))
 
     def neighbours(self, seed: int, free: np.ndarray) -> list[int]:
         """The best free documents for a seed, best first; ties go to the earlier one."""
