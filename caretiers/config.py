@@ -36,7 +36,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="caretiers-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -53,9 +53,9 @@ class DatasetConfig:
     """One landing zone and the bronze table it feeds.
 
     ``max_files_per_trigger`` bounds a micro-batch, and with it the list of file names the
-    driver holds. ``max_file_age`` is how far behind the newest file a late one may be before
-    the file source ignores it; it is wide because landing files must never be lost.
-    ``columns`` is only needed for the fixed-layout stream.
+    driver holds. ``multi_line`` reads values with line breaks, which landing files may hold; only
+    zones without any may turn it off, to split huge files. ``columns`` is only needed for the
+    fixed-layout stream.
     """
 
     name: str
@@ -63,8 +63,7 @@ class DatasetConfig:
     checkpoint_path: str
     target_table: str
     max_files_per_trigger: int = 10_000
-    max_file_age: str = "3650d"
-    multi_line: bool = False
+    multi_line: bool = True
     columns: tuple[str, ...] | None = None
 
 
@@ -87,7 +86,8 @@ class PipelineConfig:
     """Inputs and outputs of one end-to-end run; a source left ``None`` is skipped.
 
     ``multi_line`` allows line breaks inside CSV values; such files cannot be split.
-    ``upsert_buckets`` should give buckets of some hundred megabytes. ``now`` sets the clock.
+    ``compact_after`` is how many upserts are kept apart before they are merged. ``now`` sets the
+    clock.
     """
 
     landing_root: str
@@ -97,10 +97,10 @@ class PipelineConfig:
     fhir_multiline: bool = True
     patients_csv: str | None = None
     encounters_csv: str | None = None
-    multi_line: bool = False
+    multi_line: bool = True
     layers: Layers = field(default_factory=Layers)
     silver_mode: str = "append"
-    upsert_buckets: int = 64
+    compact_after: int = 16
     now: datetime | None = None
 
     def datasets(self) -> list[DatasetConfig]:

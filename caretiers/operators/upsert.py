@@ -2,31 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType
 
-from caretiers.config import remove_dir, scratch_dir
 from caretiers.operators.latest import latest_by
-from caretiers.sources.tables import (
-    BUCKET,
-    SLOT,
-    live_rows,
-    other_slot,
-    publish,
-    published_slots,
-    write_slots,
-)
+from caretiers.sources.tables import publish, published
 
-
-def merge_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Target rows whose key is not in the batch, and the batch. NULL keys match nothing.
-
-    A batch whose keys are below the broadcast threshold leaves the target unshuffled.
-    """
-    keys = batch.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull())
-    kept = target.join(keys, F.col(key) == F.col("_key"), "left_anti")
-    return kept.unionByName(batch)
+VERSION = "_version"
+# A value of the first type is held by the second without loss.
+SAFE_WIDENING = {
+    (ShortType(), IntegerType()), (ShortType(), LongType()), (IntegerType(), LongType()),
+    (FloatType(), DoubleType()), (ShortType(), DoubleType()), (IntegerType(), DoubleType()),
+}
 
 
 def is_delta_table(spark: SparkSession, name: str) -> bool:
@@ -36,59 +26,78 @@ def is_delta_table(spark: SparkSession, name: str) -> bool:
     return bool(rows) and rows[0]["data_type"].lower() == "delta"
 
 
+def data_table(name: str) -> str:
+    return f"{name}__data"
+
+
+def fitted(batch: DataFrame, target: DataFrame, name: str) -> DataFrame:
+    """The batch with the columns of the target; types may only be widened."""
+    have, want = ({f.name: f.dataType for f in df.schema} for df in (batch, target))
+    if set(have) != set(want):
+        raise ValueError(f"{name} has the columns {list(want)}, the new rows have {list(have)}")
+    for column, kind in want.items():
+        if have[column] != kind and (have[column], kind) not in SAFE_WIDENING:
+            raise ValueError(f"{name}.{column} is {kind.simpleString()}, not {have[column].simpleString()}")
+    return batch.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in want.items()])
+
+
 def upsert(
-    batch: DataFrame, name: str, key: str, order: Sequence[str], buckets: int = 64
+    batch: DataFrame, name: str, key: str, order: Sequence[str], compact_after: int = 16
 ) -> None:
     """Upsert the newest batch row of each key into a table.
 
-    A Delta table is merged in place. Otherwise rows live in hash buckets of the key, and only the
-    buckets the batch touches are rewritten, beside their current files; see ``sources.tables`` for
-    how readers switch over. The number of buckets is fixed when the table is created and bounds
-    what the driver keeps: one letter per bucket. One writer at a time. Running an upsert again
-    changes nothing, except that rows with a NULL key, which match nothing, are inserted again.
+    A Delta table is merged in place. Otherwise the table is a view over versions: a batch is
+    appended as a version of its own, so that an upsert writes what the batch holds, and the view
+    shows the row of the newest version of each key. After ``compact_after`` versions the rows shown
+    are written as one. A missing key is one key like any other, so running an upsert again
+    changes nothing. One writer at a time.
     """
     spark = batch.sparkSession
     newest = latest_by(batch, [key], order)
     if is_delta_table(spark, name):
-        newest.createOrReplaceTempView("caretiers_upsert_batch")
+        view = f"upsert_{uuid.uuid4().hex}"
+        newest.createOrReplaceTempView(view)
         spark.sql(
-            f"MERGE INTO {name} t USING caretiers_upsert_batch b ON t.{key} = b.{key} "
+            f"MERGE INTO {name} t USING {view} b ON t.{key} <=> b.{key} "
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
         )
+        spark.catalog.dropTempView(view)
         return
 
-    slots = published_slots(spark, name)
-    if slots is None:
-        _write_buckets(newest.withColumn(BUCKET, bucket_of(key, buckets)), name, "a" * buckets)
+    state = published(spark, name)
+    if state is None:
+        # What an attempt that was never published has left is no part of the table.
+        spark.sql(f"DROP TABLE IF EXISTS {data_table(name)}")
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in newest.schema)
+        spark.sql(
+            f"CREATE TABLE {data_table(name)} ({fields}, {VERSION} INT) "
+            f"USING parquet PARTITIONED BY ({VERSION})"
+        )
+        _append(newest, name, key, 1, 1)
         return
-    # The batch is read three times below (buckets, rows, keys): computed once, stored, re-read.
-    staged = scratch_dir(spark, "upsert")
-    newest.write.parquet(staged)
-    try:
-        _rewrite_buckets(spark.read.parquet(staged), name, key, slots)
-    finally:
-        remove_dir(spark, staged)
-
-
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.hash(key), F.lit(buckets))
-
-
-def _rewrite_buckets(batch: DataFrame, name: str, key: str, slots: str) -> None:
-    batch = batch.withColumn(BUCKET, bucket_of(key, len(slots)))
-    touched = sorted(r[BUCKET] for r in batch.select(BUCKET).distinct().collect())
-    rewritten = list(slots)
-    for number in touched:
-        rewritten[number] = other_slot(rewritten[number])
-    target = live_rows(batch.sparkSession, name, slots).where(F.col(BUCKET).isin(touched))
-    _write_buckets(merge_rows(target, batch, key), name, "".join(rewritten))
-
-
-def _write_buckets(rows: DataFrame, name: str, slots: str) -> None:
-    """Write the rows' buckets into the given slots and publish them."""
-    columns = [c for c in rows.columns if c != BUCKET]
-    slot = F.substring(F.lit(slots), F.col(BUCKET) + 1, F.lit(1))
-    # Rows of a bucket meet in few tasks, or every task would write a file into every bucket;
-    # a rebalance still splits a bucket that is too large for one task.
-    write_slots(rows.withColumn(SLOT, slot).hint("rebalance", BUCKET), name, columns)
-    publish(rows.sparkSession, name, columns, slots)
+    base, last = state
+    _append(fitted(newest, spark.table(name), name), name, key, base, last + 1)
+    if last + 1 - base >= compact_after:
+        _append(spark.table(name), name, key, last + 2, last + 2)
+        # Readers may still be on the versions that were just merged; those before are free.
+        stale = spark.sql(f"SHOW PARTITIONS {data_table(name)}").collect()
+        for partition in (r["partition"] for r in stale):
+            if int(partition.partition("=")[2]) < base:
+                _drop(spark, name, int(partition.partition("=")[2]))
+
+
+def _drop(spark: SparkSession, name: str, version: int) -> None:
+    spark.sql(f"ALTER TABLE {data_table(name)} DROP IF EXISTS PARTITION ({VERSION} = {version})")
+
+
+def _append(rows: DataFrame, name: str, key: str, base: int, version: int) -> None:
+    """Write rows as a version and show the newest of each key from ``base`` on."""
+    spark = rows.sparkSession
+    _drop(spark, name, version)
+    rows.withColumn(VERSION, F.lit(version)).write.insertInto(data_table(name))
+    shown = ", ".join(f"`{c}`" for c in rows.columns)
+    ranked = (
+        f"SELECT *, row_number() OVER (PARTITION BY `{key}` ORDER BY {VERSION} DESC) AS _rank "
+        f"FROM {data_table(name)} WHERE {VERSION} BETWEEN {base} AND {version}"
+    )
+    publish(spark, name, f"{base},{version}", f"SELECT {shown} FROM ({ranked}) WHERE _rank = 1")

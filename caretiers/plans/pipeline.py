@@ -5,9 +5,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretiers.config import PipelineConfig, remove_dir, scratch_dir
 from caretiers.operators.flatten import blank_missing, flatten_encounters, flatten_patients
@@ -18,6 +18,7 @@ from caretiers.sources.bundles import stage_resources
 from caretiers.sources.delimited import (
     REQUIRED_ENCOUNTER_COLUMNS,
     REQUIRED_PATIENT_COLUMNS,
+    malformed_records,
     read_csv_source,
     require_columns,
     require_non_empty,
@@ -45,16 +46,24 @@ def side_by_side(*jobs: Callable[[], None]) -> None:
             outcome.result()
 
 
+def set_aside(
+    rows: DataFrame, config: PipelineConfig, feed: str, load_date: date | str | None
+) -> None:
+    """Keep records that could not be read, by feed and day; a repeated day replaces itself."""
+    day = str(load_date or datetime.now(timezone.utc).date())
+    quarantine = f"{config.landing_root}/quarantine/feed={feed}/load_date={day}"
+    rows.write.mode("overwrite").json(quarantine)
+    if not rows.sparkSession.read.schema("content string").json(quarantine).isEmpty():
+        log.warning("some records of %s could not be read and were set aside in %s", feed, quarantine)
+
+
 def read_fhir(
     spark: SparkSession, config: PipelineConfig, staging: str, load_date: date | str | None
 ) -> dict[str, DataFrame]:
     """Flat records of both resource types; unparsable bundles are set aside and reported."""
     staged = stage_resources(spark, config.fhir_path, staging, config.fhir_multiline)
     corrupt = staged.where("content IS NOT NULL").select("source_file", "content")
-    if not corrupt.isEmpty():
-        quarantine = f"{config.landing_root}/quarantine"
-        corrupt.write.mode("append").json(quarantine)
-        log.warning("some bundles could not be parsed and were set aside in %s", quarantine)
+    set_aside(corrupt, config, "bundles", load_date)
     patients = flatten_patients(staged.where("kind = 'Patient'"))
     encounters = flatten_encounters(staged.where("kind = 'Encounter'"), load_date)
     return {"api/patients": blank_missing(patients), "api/encounters": blank_missing(encounters)}
@@ -70,6 +79,8 @@ def land_sources(spark: SparkSession, config: PipelineConfig, load_date: date |
         if path:
             rows = require_non_empty(read_csv_source(spark, path, config.multi_line), path)
             frames[zone] = require_columns(rows, required, path)
+            bad = malformed_records(spark, path, config.multi_line)
+            set_aside(bad, config, zone.replace("/", "_"), load_date)
 
     def landing(zone: str) -> Callable[[], None]:
         rows = stamp(frames[zone], FEEDS[zone], config.now)
@@ -100,9 +111,11 @@ def build_silver(spark: SparkSession, config: PipelineConfig, as_of: date | str
         config.now,
     )
     if config.silver_mode == "upsert":
-        order, buckets = ["ingestion_time"], config.upsert_buckets
-        upsert(patients, f"{silver}.silver_patients", "patient_id", order, buckets)
-        upsert(encounters, f"{silver}.silver_encounters", "encounter_id", order, buckets)
+        order, after = ["ingestion_time"], config.compact_after
+        side_by_side(
+            lambda: upsert(patients, f"{silver}.silver_patients", "patient_id", order, after),
+            lambda: upsert(encounters, f"{silver}.silver_encounters", "encounter_id", order, after),
+        )
     else:
         side_by_side(
             lambda: append_table(patients, f"{silver}.silver_patients"),
@@ -113,10 +126,11 @@ def build_silver(spark: SparkSession, config: PipelineConfig, as_of: date | str
 def build_gold(spark: SparkSession, config: PipelineConfig) -> None:
     """Upsert the dimension, rebuild the fact and the mart."""
     silver, gold = config.layers.silver, config.layers.gold
-    dim = dim_patient(scan(spark, f"{silver}.silver_patients"))
-    upsert(
-        dim, f"{gold}.dim_patient", "patient_id", ["ingestion_time"], config.upsert_buckets
-    )
+    # The dimension already holds what earlier runs brought: only the rows of the last one count.
+    people = scan(spark, f"{silver}.silver_patients")
+    last = people.agg(F.max("silver_load_time")).first()[0]
+    dim = dim_patient(people.where(F.col("silver_load_time") == F.lit(last)))
+    upsert(dim, f"{gold}.dim_patient", "patient_id", ["ingestion_time"], config.compact_after)
     fact = fact_encounter(scan(spark, f"{silver}.silver_encounters"))
     materialize_table(fact, f"{gold}.fact_encounter")
     mart = mart_patient_summary(

@@ -37,7 +37,7 @@ def bundle_schema(*resource_fields: str) -> str:
     return f"entry array<struct<resource: struct<{fields}>>>, {CORRUPT} string"
 
 
-# Flattened API records, in output order.
+# Columns of the tables, in output order. Flattened API records first.
 PATIENT_COLUMNS = (
     "patient_id", "first_name", "middle_name", "last_name", "gender", "birth_date", "phone",
     "mrn", "ssn", "driver_license", "passport", "city", "state", "postal_code", "country",

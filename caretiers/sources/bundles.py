@@ -14,10 +14,16 @@ def read_bundles(
 ) -> DataFrame:
     """Bundles of the ``*.json`` files directly inside a folder, with the fields of given types.
 
-    With ``multiline`` every file holds one document, which one task parses. Large exports
-    should be newline-delimited (``multiline=False``): such files split across tasks.
+    With ``multiline`` every file holds one document, which one task parses; files of one bundle per
+    line, of which only the first would be seen, are refused. Large exports should be
+    newline-delimited (``multiline=False``): such files split across tasks, and what is no bundle by
+    itself is kept as unparsable text.
     Columns: ``entry``, the unparsable text (NULL for good bundles) and ``source_file``.
     """
+    if multiline:
+        found = files_of_lines(spark, path).first()
+        if found:
+            raise ValueError(f"{found['source_file']} has a bundle per line: read it with multiline=False")
     return (
         spark.read.schema(bundle_schema(*[RESOURCE_FIELDS[t] for t in resource_types]))
         .option("multiLine", multiline)
@@ -29,6 +35,19 @@ def read_bundles(
     )
 
 
+def files_of_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the ``*.json`` files of a folder in which more than one line is a bundle by itself."""
+    lines = spark.read.option("pathGlobFilter", "*.json").text(path)
+    whole = F.col("value").contains('"entry"') & F.get_json_object("value", "$.entry").isNotNull()
+    return (
+        lines.where(whole)
+        .groupBy(F.col("_metadata.file_name").alias("source_file"))
+        .count()
+        .where("count > 1")
+        .select("source_file")
+    )
+
+
 def resources(bundles: DataFrame, resource_type: str) -> DataFrame:
     """One row per resource of the given type: ``r`` and ``source_file``."""
     return (
@@ -65,8 +84,7 @@ def stage_resources(
 def corrupt_bundles(bundles: DataFrame) -> DataFrame:
     """Quarantine: the text that could not be parsed and the file it came from."""
     # ``entry`` keeps the scan from being pruned to the corrupt column alone, which Spark refuses.
-    return (
-        bundles.select(CORRUPT, "source_file", F.size("entry").alias("parsed_entries"))
-        .where(F.col(CORRUPT).isNotNull())
-        .select("source_file", F.col(CORRUPT).alias("content"), "parsed_entries")
+    parsed = F.coalesce(F.size("entry"), F.lit(0))
+    return bundles.where(F.col(CORRUPT).isNotNull() & (parsed >= -1)).select(
+        "source_file", F.col(CORRUPT).alias("content"), F.size("entry").alias("parsed_entries")
     )

@@ -6,16 +6,18 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from caretiers.functions import instant
 
 # Columns an extract cannot do without.
 REQUIRED_PATIENT_COLUMNS = ("id", "first")
 REQUIRED_ENCOUNTER_COLUMNS = ("id", "patient")
+MALFORMED = "_malformed_record"
 
 
 def csv_reader(
-    spark: SparkSession, strict: bool = True, multi_line: bool = False
+    spark: SparkSession, strict: bool = True, multi_line: bool = True
 ) -> DataFrameReader:
     """Reader for comma-separated files with a header and doubled quotes.
 
@@ -31,12 +33,32 @@ def csv_reader(
     )
 
 
-def read_csv_source(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv_source(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Extract with every column as text (codes keep leading zeros), header in lower case.
 
-    ``multi_line`` allows line breaks inside quoted fields, at the price of unsplittable files.
+    Values may hold line breaks; huge extracts without any can be split with ``multi_line=False``.
+    Records that do not fit the header are left to ``malformed_records``.
     """
-    return lower_columns(csv_reader(spark, multi_line=multi_line).csv(path))
+    read = _with_rescue(spark, path, multi_line)
+    # Spark refuses to look at the text of bad records alone, so the condition names a value too.
+    fits = F.col(MALFORMED).isNull() & (F.length(F.concat_ws("", F.col(f"`{read.columns[0]}`"))) >= 0)
+    return lower_columns(read.where(fits).drop(MALFORMED))
+
+
+def malformed_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Whole text and file of each record with more or fewer fields than the header names."""
+    read = _with_rescue(spark, path, multi_line)
+    bad = F.col(MALFORMED).isNotNull() & (F.length(F.concat_ws("", F.col(f"`{read.columns[0]}`"))) >= 0)
+    named = read.select("*", F.col("_metadata.file_name").alias("source_file"))
+    return named.where(bad).select("source_file", F.rtrim(MALFORMED).alias("content"))
+
+
+def _with_rescue(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    header = csv_reader(spark, multi_line=multi_line).csv(path).columns
+    fields = [StructField(c, StringType()) for c in (*header, MALFORMED)]
+    reader = csv_reader(spark, multi_line=multi_line).schema(StructType(fields))
+    # Columns are pruned only after parsing, or surplus fields would go unnoticed.
+    return reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False).csv(path)
 
 
 def lower_columns(df: DataFrame) -> DataFrame:

@@ -16,7 +16,16 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def land(df: DataFrame, root: str, load_date: date | str | None = None) -> None:
+# Files with line breaks inside values are read by one task each, so files are kept small.
+ROWS_PER_FILE = 500_000
+
+
+def land(
+    df: DataFrame,
+    root: str,
+    load_date: date | str | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
     """Write the rows below ``root/load_date=YYYY-MM-DD``, replacing that day only.
 
     The files of a repeated day get new names, so a bronze run that already took in the first
@@ -28,6 +37,7 @@ def land(df: DataFrame, root: str, load_date: date | str | None = None) -> None:
         .write.partitionBy("load_date")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
         .options(**CSV_WRITE_OPTIONS)
         .csv(root)
     )

@@ -1,20 +1,15 @@
 """Catalog tables: scans, appends, and replacements that readers see all at once.
 
-A replaced table is a view over a partitioned data table. New rows go to partitions that the view
-does not show yet; re-creating the view is the single step that publishes them. A job that dies
-before that step leaves readers with the old rows, and running it again gives the right result.
+A replaced table is a view over data tables. New rows are written where the view does not look yet;
+re-creating the view is the single step that publishes them. A job that dies before that step leaves
+readers with the old rows, and running it again gives the right result. One writer at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-SLOT = "_slot"
-BUCKET = "_bucket"
-SLOTS_PROPERTY = "caretiers.slots"
+VERSION_PROPERTY = "caretiers.version"
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
@@ -25,81 +20,41 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").saveAsTable(name)
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Limit overwrites to the partitions that receive rows."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def other_slot(slot: str) -> str:
-    return "b" if slot == "a" else "a"
-
-
-def published_slots(spark: SparkSession, name: str) -> str | None:
-    """One letter per bucket naming the partition a view shows, or None without such a view."""
+def published(spark: SparkSession, name: str) -> list[int] | None:
+    """The numbers in a view's version property, or None where there is no such view."""
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(f"key = '{SLOTS_PROPERTY}'").collect()
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(f"key = '{VERSION_PROPERTY}'").collect()
     if not rows:
         raise ValueError(f"{name} was not written by materialize_table or upsert")
-    return rows[0]["value"]
-
-
-def data_table(name: str) -> str:
-    return f"{name}__data"
+    return [int(n) for n in rows[0]["value"].split(",")]
 
 
-def write_slots(df: DataFrame, name: str, columns: list[str]) -> None:
-    """Replace the partitions named by ``_bucket`` and ``_slot`` in the data table."""
-    spark = df.sparkSession
-    fields = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*columns).schema.fields
-    )
+def publish(spark: SparkSession, name: str, version: str, body: str) -> None:
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {data_table(name)} ({fields}, {BUCKET} INT, {SLOT} STRING) "
-        f"USING parquet PARTITIONED BY ({BUCKET}, {SLOT})"
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION_PROPERTY}' = '{version}') AS {body}"
     )
-    existing = [c for c in spark.table(data_table(name)).columns if c not in (BUCKET, SLOT)]
-    if existing != columns:
-        raise ValueError(f"{name} has the columns {existing}, the new rows have {columns}")
-    with dynamic_overwrite(spark):
-        df.select(*columns, BUCKET, SLOT).write.insertInto(data_table(name), overwrite=True)
 
 
-def publish(spark: SparkSession, name: str, columns: list[str], slots: str) -> None:
-    """Point the view at one partition per bucket."""
-    shown = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{SLOTS_PROPERTY}' = '{slots}') AS "
-        f"SELECT {shown} FROM {data_table(name)} "
-        f"WHERE {SLOT} = substring('{slots}', {BUCKET} + 1, 1)"
-    )
-
-
-def live_rows(spark: SparkSession, name: str, slots: str) -> DataFrame:
-    """Rows the view shows, with their bucket, so that a bucket filter prunes partitions."""
-    shown = F.substring(F.lit(slots), F.col(BUCKET) + 1, F.lit(1))
-    return spark.table(data_table(name)).where(F.col(SLOT) == shown).drop(SLOT)
+def refreshed_table(name: str, version: int) -> str:
+    return f"{name}__{version}"
 
 
 def materialize_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Full refresh: readers see the old rows until all new ones are written."""
+    """Full refresh: readers see the old rows until all new ones are written.
+
+    Every refresh has a data table of its own, so columns and types are those of the new rows. The
+    last one before is kept for readers that are still on it.
+    """
     if fmt != "parquet":
-        df.write.format(fmt).mode("overwrite").saveAsTable(name)
+        df.write.format(fmt).mode("overwrite").option("overwriteSchema", True).saveAsTable(name)
         return
     spark = df.sparkSession
-    slot = other_slot(published_slots(spark, name) or "b")
-    if spark.catalog.tableExists(data_table(name)):
-        spark.sql(
-            f"ALTER TABLE {data_table(name)} "
-            f"DROP IF EXISTS PARTITION ({BUCKET} = 0, {SLOT} = '{slot}')"
-        )
-    columns = df.columns
-    write_slots(df.withColumns({BUCKET: F.lit(0), SLOT: F.lit(slot)}), name, columns)
-    publish(spark, name, columns, slot)
+    version = (published(spark, name) or [0])[0] + 1
+    table = refreshed_table(name, version)
+    # An attempt that died before it was published may have left a table.
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    df.write.format("parquet").mode("overwrite").saveAsTable(table)
+    publish(spark, name, str(version), f"SELECT * FROM {table}")
+    if version > 2:
+        spark.sql(f"DROP TABLE IF EXISTS {refreshed_table(name, version - 2)}")

@@ -7,7 +7,9 @@ zones with a declared layout; it refuses files with another header.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import logging
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,7 +18,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from caretiers.config import DatasetConfig
 from caretiers.functions import instant
 from caretiers.schemas import INGESTED_AT, LOAD_DATE, SOURCE_FILE
-from caretiers.sources.tables import dynamic_overwrite
+from caretiers.sources.delimited import MALFORMED
 from caretiers.streaming.layouts import (
     Layout,
     LayoutRegistry,
@@ -29,7 +31,12 @@ from caretiers.streaming.layouts import (
     text_schema,
 )
 
+log = logging.getLogger(__name__)
+
 BATCH = "_batch"
+# The file source leaves out files that are older than the newest one by more than this. Landing
+# files must never be lost, whatever their date, so it is more than any two dates can differ.
+ANY_AGE = "1000000d"
 LANDING_DAY = "load_date"
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -49,14 +56,16 @@ def bronze_stream(
     if config.columns is None:
         raise ValueError(f"{config.name} declares no columns")
     rows = (
-        spark.readStream.schema(text_schema([*config.columns, LANDING_DAY]))
+        spark.readStream.schema(text_schema([*config.columns, LANDING_DAY, MALFORMED]))
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("enforceSchema", False)
         .option("multiLine", config.multi_line)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)
         .option("maxFilesPerTrigger", config.max_files_per_trigger)
-        .option("maxFileAge", config.max_file_age)
+        .option("maxFileAge", ANY_AGE)
         .option("pathGlobFilter", "*.csv")
         .csv(config.source_path)
         .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
@@ -80,6 +89,18 @@ def run_bronze(
 # --- evolving layout ------------------------------------------------------------------------
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Limit overwrites to the partitions that receive rows."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _write(rows: DataFrame, config: DatasetConfig, at: Column, batch: str) -> None:
     """Put one micro-batch into its own partition; a repeated micro-batch replaces itself."""
     spark = rows.sparkSession
@@ -101,7 +122,7 @@ def _prepare_table(spark: SparkSession, table: str, columns: Sequence[str]) -> N
     fields = ", ".join(f"`{c}` STRING" for c in columns)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} "
-        f"({fields}, {SOURCE_FILE} STRING, {INGESTED_AT} TIMESTAMP, "
+        f"({fields}, {MALFORMED} STRING, {SOURCE_FILE} STRING, {INGESTED_AT} TIMESTAMP, "
         f"{LOAD_DATE} DATE, {BATCH} STRING) "
         f"USING parquet PARTITIONED BY ({LOAD_DATE}, {BATCH})"
     )
@@ -164,13 +185,16 @@ def ingest_bronze(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", config.max_files_per_trigger)
-        .option("maxFileAge", config.max_file_age)
+        .option("maxFileAge", ANY_AGE)
         .load(config.source_path)
         .select("path", "length", at)
     )
 
     def write_batch(listing: DataFrame, batch_id: int) -> None:
-        found = [r for r in listing.collect() if r["length"] > 0]
+        listed = listing.collect()
+        found = [r for r in listed if r["length"] > 0]
+        if len(found) < len(listed):
+            log.warning("%s: %d files are empty", config.name, len(listed) - len(found))
         if found:
             session = listing.sparkSession
             query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from caretiers.schemas import SOURCE_FILE
-from caretiers.sources.delimited import csv_reader
+from caretiers.sources.delimited import MALFORMED, csv_reader
 
 REGISTRY_SCHEMA = "version int, columns array<string>, header array<string>"
 # What Spark's strict CSV reader says about a file with another header.
@@ -122,8 +122,12 @@ def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[s
 def read_layout(
     spark: SparkSession, paths: Sequence[str], header: Sequence[str], strict: bool, multi_line: bool
 ) -> DataFrame:
-    """Files of one layout as text columns, with the path of each row's file."""
-    reader = csv_reader(spark, strict, multi_line).schema(text_schema(header))
+    """Files of one layout as text columns, with the path of each row's file.
+
+    A record that does not fit the header keeps its whole text in a column of its own.
+    """
+    reader = csv_reader(spark, strict, multi_line).schema(text_schema([*header, MALFORMED]))
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
     rows = reader.csv([literal_path(p) for p in paths])
     return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caretiers.operators import upsert as upsert_module
-from caretiers.operators.upsert import merge_rows, upsert
+from caretiers.operators.upsert import data_table, upsert
 from caretiers.plans.gold import dim_patient, fact_encounter, mart_patient_summary
 from caretiers.schemas import (
     DIM_PATIENT_COLUMNS,
@@ -13,7 +13,6 @@ from caretiers.schemas import (
     SILVER_ENCOUNTER_COLUMNS,
     SILVER_PATIENT_COLUMNS,
 )
-from caretiers.sources.tables import data_table
 
 from conftest import plan_of, rows
 
@@ -137,15 +136,11 @@ def batch(spark, *found):
     return spark.createDataFrame(list(found), "k string, t int, v string")
 
 
-def test_merge_replaces_inserts_and_never_matches_missing_keys(spark):
-    merged = merge_rows(
-        batch(spark, ("a", 1, "old"), ("b", 1, "kept"), (None, 1, "n1")),
-        batch(spark, ("a", 2, "new"), ("c", 2, "added"), (None, 2, "n2")),
-        "k",
-    )
-    assert rows(merged, "k", "v") == [
-        (None, "n1"), (None, "n2"), ("a", "new"), ("b", "kept"), ("c", "added"),
-    ]
+def test_a_missing_key_is_one_key(spark, database):
+    name = f"{database}.missing"
+    for t in (1, 2, 2):
+        upsert(batch(spark, (None, t, f"n{t}"), ("a", t, "x")), name, "k", ["t"])
+    assert rows(spark.table(name), "k", "v") == [(None, "n2"), ("a", "x")]
 
 
 def test_upsert_inserts_then_replaces(spark, database):
@@ -175,29 +170,51 @@ def test_upsert_from_a_query_over_the_table_itself(spark, database):
     assert rows(spark.table(name), "k", "v") == [("a", "y"), ("b", "x")]
 
 
-def test_upsert_leaves_other_buckets_alone(spark, database):
-    name = f"{database}.buckets"
-    keys = [(f"k{i}", 1, "x") for i in range(200)]
-    upsert(batch(spark, *keys), name, "k", ["t"], 16)
-    before = {r[0] for r in files_by_bucket(spark, name)}
+def files_of(spark, name):
+    return {r[0] for r in spark.sql(f"SELECT DISTINCT _metadata.file_path FROM {data_table(name)}").collect()}
+
+
+def test_upsert_writes_what_the_batch_holds(spark, database):
+    name = f"{database}.small"
+    upsert(batch(spark, *[(f"k{i}", 1, "x") for i in range(2000)]), name, "k", ["t"])
+    before = files_of(spark, name)
     upsert(batch(spark, ("k0", 2, "y")), name, "k", ["t"])
-    after = {r[0] for r in files_by_bucket(spark, name)}
-    assert spark.table(name).count() == 200
-    assert len(before) == 16 and len(before & after) == 15
+    assert before < files_of(spark, name) and len(files_of(spark, name) - before) == 1
+    assert spark.table(name).count() == 2000
 
 
-def files_by_bucket(spark, name):
-    """Files the readers of the table see."""
-    return spark.sql(
-        f"SELECT DISTINCT _metadata.file_path FROM {data_table(name)} "
-        f"WHERE _slot = substring('{slots(spark, name)}', _bucket + 1, 1)"
-    ).collect()
+def test_versions_are_merged(spark, database):
+    name = f"{database}.merged"
+    for t in range(1, 12):
+        upsert(batch(spark, ("a", t, f"v{t}"), (f"k{t}", t, "x")), name, "k", ["t"], 3)
+        assert spark.table(name).count() == t + 1
+        assert spark.table(name).where("k = 'a'").first()["v"] == f"v{t}"
+    assert spark.sql(f"SHOW PARTITIONS {data_table(name)}").count() <= 8
+
+
+def test_upsert_of_other_types_or_columns_is_refused(spark, database):
+    name = f"{database}.types"
+    upsert(batch(spark, ("a", 1, "x")), name, "k", ["t"])
+    with pytest.raises(ValueError, match="double"):
+        upsert(batch(spark, ("a", 1, "x")).withColumn("t", F.lit(2.75)), name, "k", ["t"])
+    with pytest.raises(ValueError, match="columns"):
+        upsert(batch(spark, ("a", 1, "x")).drop("v"), name, "k", ["t"])
+    upsert(batch(spark, ("a", 1, "z")).withColumn("t", F.lit(2).cast("short")), name, "k", ["t"])
+    assert rows(spark.table(name)) == [("a", 2, "z")]
+
 
+def test_first_upsert_that_died_is_forgotten(spark, database, monkeypatch):
+    name = f"{database}.first"
 
-def slots(spark, name):
-    from caretiers.sources.tables import published_slots
+    def die(*args):
+        raise RuntimeError("lost driver")
 
-    return published_slots(spark, name)
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert_module, "publish", die)
+        with pytest.raises(RuntimeError):
+            upsert(batch(spark, *[(f"k{i}", 1, "crashed") for i in range(50)]), name, "k", ["t"])
+    upsert(batch(spark, ("k1", 1, "good")), name, "k", ["t"])
+    assert rows(spark.table(name), "k", "v") == [("k1", "good")]
 
 
 def test_upsert_that_dies_before_publishing_changes_nothing(spark, database, monkeypatch):
@@ -214,13 +231,3 @@ def test_upsert_that_dies_before_publishing_changes_nothing(spark, database, mon
     assert rows(spark.table(name), "k", "v") == [("a", "x"), ("b", "x")]
     upsert(batch(spark, ("a", 2, "y"), ("c", 2, "y")), name, "k", ["t"])
     assert rows(spark.table(name), "k", "v") == [("a", "y"), ("b", "x"), ("c", "y")]
-
-
-def test_upsert_writes_few_files_per_bucket(spark, database):
-    name = f"{database}.files"
-    many = spark.range(20_000).repartition(40).select(
-        F.col("id").cast("string").alias("k"), F.lit(1).alias("t"), F.lit("x").alias("v")
-    )
-    upsert(many, name, "k", ["t"], 8)
-    assert spark.table(name).count() == 20_000
-    assert len(files_by_bucket(spark, name)) <= 16

@@ -60,7 +60,7 @@ def test_two_days(spark, tmp_path, mode, visits_of_ann):
             encounters_csv=str(path / "encounters.csv"),
             layers=layers,
             silver_mode=mode,
-            upsert_buckets=4,
+            compact_after=4,
             now=datetime(2024, 1, day, 12),
         )
         mart = run_pipeline(spark, config)

@@ -8,13 +8,14 @@ from caretiers.config import Layers, scratch_dir
 from caretiers.sources.delimited import (
     REQUIRED_PATIENT_COLUMNS,
     csv_reader,
+    malformed_records,
     read_csv_source,
     require_columns,
     require_non_empty,
     stamp,
 )
 from caretiers.sources.landing import land
-from caretiers.sources.tables import append_table, data_table, materialize_table
+from caretiers.sources.tables import append_table, materialize_table
 
 from conftest import rows
 
@@ -108,12 +109,19 @@ def test_failed_refresh_leaves_old_rows(spark, database):
     assert rows(spark.table(name)) == [("1",)]
 
 
-def test_other_columns_are_refused(spark, database):
+def test_refresh_follows_columns_and_types(spark, database):
     name = f"{database}.columns"
-    materialize_table(spark.range(1), name)
-    with pytest.raises(ValueError, match="columns"):
-        materialize_table(spark.range(1).withColumnRenamed("id", "other"), name)
-    assert data_table(name).endswith("__data")
+    materialize_table(spark.createDataFrame([(1,)], "v int"), name)
+    materialize_table(spark.createDataFrame([(0.5, "a")], "v double, w string"), name)
+    assert rows(spark.table(name)) == [(0.5, "a")]
+    materialize_table(spark.table(name).drop("w"), name)
+    assert spark.table(name).schema.simpleString() == "struct<v:double>"
+
+
+def test_line_breaks_and_surplus_fields(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('id,first\n1,"An\nna"\n2,Bea,EXTRA,MORE\n3\n4,"Do""ra"\n')
+    assert rows(read_csv_source(spark, str(tmp_path))) == [("1", "An\nna"), ("4", 'Do"ra')]
+    assert rows(malformed_records(spark, str(tmp_path)), "content") == [("2,Bea,EXTRA,MORE",), ("3",)]
 
 
 def test_layers_are_created(spark, tmp_path):
