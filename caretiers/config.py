@@ -86,6 +86,7 @@ class PipelineConfig:
     """Inputs and outputs of one end-to-end run; a source left ``None`` is skipped.
 
     ``multi_line`` allows line breaks inside CSV values; such files cannot be split.
+    ``checks`` makes the run write the failing rows of the gold tables to ``failed_checks``.
     ``compact_after`` is how many upserts are kept apart before they are merged. ``now`` sets the
     clock.
     """
@@ -101,6 +102,7 @@ class PipelineConfig:
     layers: Layers = field(default_factory=Layers)
     silver_mode: str = "append"
     compact_after: int = 16
+    checks: bool = False
     now: datetime | None = None
 
     def datasets(self) -> list[DatasetConfig]:

@@ -66,3 +66,22 @@ def check_freshness(
         .withColumn("age_hours", age)
         .withColumn("is_fresh", F.coalesce(F.col("age_hours") <= max_age_hours, F.lit(False)))
     )
+
+
+def gold_checks(dim: DataFrame, fact: DataFrame) -> DataFrame:
+    """Failing rows of the dimension and the fact: table, check, and the key of the row as text."""
+
+    def failing(table: str, check: str, rows: DataFrame, key: str) -> DataFrame:
+        return rows.select(
+            F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), F.col(key).cast("string").alias("row_key")
+        )
+
+    found = [
+        failing("dim_patient", "not_null", check_not_null(dim, ["patient_id"]), "patient_id"),
+        failing("dim_patient", "unique", check_unique(dim, ["patient_id"]), "patient_id"),
+        failing("fact_encounter", "not_null", check_not_null(fact, ["encounter_id", "patient_id"]), "encounter_id"),
+        failing("fact_encounter", "unique", check_unique(fact, ["encounter_id"]), "encounter_id"),
+        failing("fact_encounter", "duration", check_range(fact, "encounter_duration_minutes", low=0), "encounter_id"),
+        failing("fact_encounter", "cost", check_range(fact, "total_claim_cost", low=0), "encounter_id"),
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretiers.config import PipelineConfig, remove_dir, scratch_dir
 from caretiers.operators.flatten import blank_missing, flatten_encounters, flatten_patients
+from caretiers.operators.quality import gold_checks
 from caretiers.operators.upsert import upsert
 from caretiers.plans.gold import dim_patient, fact_encounter, mart_patient_summary
 from caretiers.plans.silver import silver_encounters, silver_patients
@@ -137,6 +138,17 @@ def build_gold(spark: SparkSession, config: PipelineConfig) -> None:
         scan(spark, f"{gold}.dim_patient"), scan(spark, f"{gold}.fact_encounter")
     )
     materialize_table(mart, f"{gold}.mart_patient_summary")
+    if config.checks:
+        run_checks(spark, config)
+
+
+def run_checks(spark: SparkSession, config: PipelineConfig) -> None:
+    """Replace the table of failing gold rows and report whether there are any."""
+    gold = config.layers.gold
+    failed = gold_checks(scan(spark, f"{gold}.dim_patient"), scan(spark, f"{gold}.fact_encounter"))
+    materialize_table(failed, f"{gold}.failed_checks")
+    if not scan(spark, f"{gold}.failed_checks").isEmpty():
+        log.warning("some rows of %s fail its checks, see failed_checks", gold)
 
 
 def run_pipeline(

@@ -34,7 +34,7 @@ from caretiers.operators.quality import (
 from caretiers.operators.recent import recent
 from caretiers.operators.upsert import data_table, upsert
 from caretiers.plans import gold, silver
-from caretiers.plans.pipeline import run_pipeline
+from caretiers.plans.pipeline import run_checks, run_pipeline
 from caretiers.schemas import INGESTED_AT
 from caretiers.sources.bundles import corrupt_bundles, read_bundles, resources
 from caretiers.sources.delimited import (
@@ -212,8 +212,10 @@ def bronze_all_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_all(spark, configs.values(), NOW_1)
     found = None
     for name, config in configs.items():
+        columns = frame(spark, sf_dir, name).drop(INGESTED_AT).columns
         rows = spark.table(config.target_table).select(
-            F.lit(name).alias("zone"), F.col(keys[name]).alias("key"), "load_date"
+            F.lit(name).alias("zone"), F.col(keys[name]).alias("key"), "load_date",
+            F.concat_ws("|", *columns).alias("content"),
         )
         found = rows if found is None else found.unionAll(rows)
     return found
@@ -589,6 +591,19 @@ def landing_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- checks -----------------------------------------------------------------------------------
 
 
+@query("pipeline_checks")
+def pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks as a run makes them, over gold tables with the faults of the feeds."""
+    layers = Layers(*[new_database(spark)] * 3)
+    config = PipelineConfig(landing_root="", checkpoint_root="", layers=layers)
+    dim = gold.dim_patient(silver_patient_rows(spark, sf_dir))
+    upsert(dim, f"{layers.gold}.dim_patient", "patient_id", ["ingestion_time"])
+    days = [silver_encounter_rows(spark, sf_dir, *day) for day in ((DAY_1, NOW_1), (DAY_2, NOW_2))]
+    materialize_table(gold.fact_encounter(days[0].unionByName(days[1])), f"{layers.gold}.fact_encounter")
+    run_checks(spark, config)
+    return spark.table(f"{layers.gold}.failed_checks")
+
+
 @query("check_not_null")
 def check_missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = gold.dim_patient(silver_patient_rows(spark, sf_dir))
