@@ -6,27 +6,28 @@ first, so few documents share a token by chance. Candidates come from the first
 a token under the others too before the whole sets are compared.
 
 Equal sets are one class from the start. Classes that share a prefix token are first compared with
-one of them; the components found so far then make most other pairs of a large group unnecessary,
-and only pairs between different components are compared in the second phase. No link between
-components is lost.
+one of them, then with the best connected; the components found so far make most other pairs of a
+large group unnecessary. What shares a token and is still in different components is compared in
+blocks of bounded size, which give links and never pairs. No link between components is lost.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, digest, gram_hashes, materialize, mix, raw_texts
+from .common import CACHE_WORDS, WordHashes, components, digest, gram_hashes, materialize, mix, raw_texts
 
-#: Counters of the frequency sketch that orders tokens: a fixed size at any scale. It only decides
-#: which tokens come first; the result does not depend on it.
-SKETCH = 1 << 20
-_SLICES = 64
+#: Words whose counts order the tokens: the most frequent ones, a fixed number at any scale (8 MB).
+#: Others count as rarer than these. The counts only decide which tokens come first; the result
+#: does not depend on them.
+COUNTED_WORDS = 500_000
 ORDERS = 3
 
 
@@ -37,12 +38,16 @@ class Shingles:
         self.n, self.words = n, WordHashes()
 
     def __call__(self, text: bytes) -> np.ndarray:
+        return np.unique(self.sequence(text)[0])
+
+    def sequence(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the shingles in order, and of the words."""
         words = text.lower().split()
         if not words:
-            return np.empty(0, np.uint64)
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
         hashes = self.words.array(words)
         # A text shorter than n is one shingle, which differs from all those of n words.
-        return np.unique(gram_hashes(hashes, min(self.n, len(words))) + np.uint64(max(0, self.n - len(words))))
+        return gram_hashes(hashes, min(self.n, len(words))) + np.uint64(max(0, self.n - len(words))), hashes
 
 
 def least_overlap(size: np.ndarray | int, num: int, den: int):
@@ -50,37 +55,36 @@ def least_overlap(size: np.ndarray | int, num: int, den: int):
     return -(-num * size // den)
 
 
-def token_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """About how many sets hold the tokens of each of SKETCH hash classes, over all documents."""
+def word_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) and counts of the most frequent words of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, total = Shingles(n), np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            sets = [shingles(t) for t in raw_texts(batch)]
-            if sets:
-                total += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        packer = zstandard.ZstdCompressor()
-        parts = np.split(total, _SLICES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(_SLICES), pa.int32()), pa.array([packer.compress(p.tobytes()) for p in parts], pa.binary())],
-            ["part", "counts"],
-        )
+        counts: Counter[bytes] = Counter()
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, part = np.zeros(SKETCH // _SLICES, np.int64), None
-        for batch in batches:
-            for part, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "counts")), strict=True):  # noqa: B007
-                total += np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), np.int64)
-        if part is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "counts"])
+        def out() -> pa.RecordBatch:
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), np.uint64, len(counts)).view(np.int64)
+            batch = pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+            counts.clear()
+            return batch
 
-    schema = "part int, counts binary"
-    sums = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema)
-    out = np.zeros(SKETCH, np.int64)
-    for row in sums.collect():  # _SLICES rows, SKETCH numbers in all
-        step = SKETCH // _SLICES
-        out[row["part"] * step : (row["part"] + 1) * step] = np.frombuffer(row["counts"], np.int64)
-    return out
+        for batch in batches:
+            for text in raw_texts(batch):
+                counts.update(text.lower().split())
+            if len(counts) >= CACHE_WORDS:
+                yield out()
+        yield out()
+
+    total = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = materialize(total.filter("n > 1"), "words")
+    words = total.count()
+    if words > COUNTED_WORDS:
+        least = total.select(F.percentile_approx("n", 1 - COUNTED_WORDS / words, 100_000)).first()[0]
+        # All words of one count are in or out, so that the table cannot exceed its size.
+        total = total.filter(F.col("n") > least)
+    found = total.toArrow()
+    keys = found.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.minimum(found.column("n").to_numpy()[order], 2**31 - 1).astype(np.int32)
 
 
 def classes(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -89,34 +93,40 @@ def classes(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     The first prefix has 64-bit tokens; the others only filter and have 32 bits.
     """
     spark = docs.sparkSession
-    # 4 MB at most: logarithms of the counts.
-    ranks = spark.sparkContext.broadcast(np.minimum(token_counts(docs, n), 2**31 - 1).astype(np.int32))
+    counted = spark.sparkContext.broadcast(word_counts(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = Shingles(n), ranks.value
-        rough = np.log2(np.maximum(counts, 1)).astype(np.uint64)
+        shingles, (keys, counts) = Shingles(n), counted.value
+        keys, counts = np.append(keys, np.uint64(2**64 - 1)), np.append(counts, 1)
         for batch in batches:
-            keys, sizes, prefixes = [], [], [[] for _ in range(ORDERS)]
+            names, sizes, prefixes = [], [], [[] for _ in range(ORDERS)]
             for text in raw_texts(batch):
-                found = shingles(text)
+                sequence, words = shingles.sequence(text)
+                found, first = np.unique(sequence, return_index=True)
                 size = len(found)
                 sizes.append(size)
-                keys.append(digest(found.tobytes()) if size else None)
+                names.append(digest(found.tobytes()) if size else None)
                 length = size - int(least_overlap(size, num, den)) + 1 if size else 0
-                slot = (found % np.uint64(SKETCH)).astype(np.int64)
+                # No token is in more documents than its rarest word has occurrences.
+                slot = np.searchsorted(keys, words)
+                often = np.where(keys[slot] == words, counts[slot], 1)
+                span = min(n, len(words))
+                rarest = np.minimum.reduce([often[k : len(often) - span + 1 + k] for k in range(span)]) if size else often
+                rarest = rarest[first]
+                rough = np.log2(rarest).astype(np.uint64)
                 for k in range(ORDERS):
                     if k == 0:
-                        order = np.lexsort((found, counts[slot]))[:length]
+                        order = np.lexsort((found, rarest))[:length]
                         prefixes[k].append(found[order].view(np.int64))
                     else:
                         # Rare classes of tokens first, each class in an order of its own.
-                        value = (rough[slot] << np.uint64(58)) | (mix(found + np.uint64(k)) >> np.uint64(6))
+                        value = (rough << np.uint64(58)) | (mix(found + np.uint64(k)) >> np.uint64(6))
                         part = np.argpartition(value, length - 1)[:length] if length < size else slice(None)
-                        prefixes[k].append((found[part] >> np.uint64(20)).astype(np.uint32).view(np.int32) if size else np.empty(0, np.int32))
+                        prefixes[k].append((found[part] >> np.uint64(20)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(keys, pa.binary()),
+                    pa.array(names, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     *[pa.array(p, pa.list_(pa.int64() if k == 0 else pa.int32())) for k, p in enumerate(prefixes)],
                 ],
@@ -202,6 +212,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, rep
 CENTRES = 4
 
 
+#: Times that the best connected class of each token is taken for its centre.
+HUB_ROUNDS = 2
+
+
+def _open_tokens(shared: DataFrame, heads: DataFrame, found: DataFrame) -> DataFrame:
+    """(token, id, size, c): members of the tokens whose members are in several components c."""
+    placed = shared.select("token", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.join(heads.select("id", "size"), "id").select("token", "id", "size", F.coalesce("component", "id").alias("c"))
+    placed = materialize(placed, "placed")
+    several = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
+    return placed.join(several, "token")
+
+
 def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their class, links between classes, and components of the classes.
 
@@ -232,28 +255,98 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[
     stars = materialize(stars.distinct(), "stars")
     tried = materialize(_filtered(stars, _ends(stars), found, num, den), "tried")
     links = _verified(docs, tried, n, num, den, repeated)
-    first = components(links)
-    # Second phase: only between components, and only under tokens that several components share.
-    placed = shared.select("token", "id").join(first.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.join(heads.select("id", "size"), "id").select("token", "id", "size", F.coalesce("component", "id").alias("c"))
-    placed = materialize(placed, "placed")
-    several = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
-    placed = materialize(placed.join(several, "token"), "open")
-    left = placed.select("token", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("c").alias("ca"))
-    right = placed.select("token", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("c").alias("cb"))
-    pairs = (
-        left.join(right, "token")
-        .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("sa"), F.col("sb"), num, den))
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    for _ in range(HUB_ROUNDS):
+        # A class that many others are linked to is the likely origin of its group: next, all that
+        # share a token with it and are not connected to it yet are compared with it.
+        open_ = _open_tokens(shared, heads, components(links))
+        degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").count()
+        ranked = open_.join(degree, "id", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+        hubs = ranked.groupBy("token").agg(F.max(F.struct("count", "id", "c")).alias("hub")).filter("hub.count > 1")
+        more = (
+            open_.join(hubs.select("token", F.col("hub.id").alias("hub"), F.col("hub.c").alias("hc")), "token")
+            .filter("c <> hc")
+            .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+            .distinct()
+            .join(stars, ["a", "b"], "left_anti")
+        )
+        more = materialize(more, "stars")
+        if more.isEmpty():
+            break
+        stars = materialize(stars.unionByName(more), "stars")
+        tried = materialize(_filtered(more, _ends(more), found, num, den), "tried")
+        links = materialize(links.unionByName(_verified(docs, tried, n, num, den, repeated)), "links")
+    # Second phase: only under tokens whose members are in several components. Members are compared
+    # block by block, so that a token of any size is spread over tasks of bounded size.
+    open_ = materialize(_open_tokens(shared, heads, components(links)), "open")
+    sets = _sets_of(docs, materialize(open_.select("id").distinct(), "ends"), n, repeated)
+    blocks = open_.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+    placed = open_.join(blocks, "token").withColumn("own", F.pmod(F.xxhash64("id"), "k").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
+    placed = placed.select("token", "id", "c", "own", other.alias("other")).select(
+        "token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "c"
     )
-    pairs = materialize(pairs, "pairs")
-    more = materialize(_filtered(pairs, _ends(pairs), found, num, den), "tried")
-    links = links.unionByName(_verified(docs, more, n, num, den, repeated))
+    more = placed.join(sets, "id").groupBy("token", "x", "y").applyInArrow(_compare_blocks(num, den), "a long, b long")
+    links = materialize(links.unionByName(more.distinct()), "links")
     return found.join(heads.select("set", "id"), "set", "left").select("doc_id", "size", "id"), links, components(links)
 
 
+#: Members of a token that are compared in one task, with as many others at most.
+BLOCK = 400
+
+
+def _compare_blocks(num: int, den: int):
+    """Links that connect different components among the members of a block (token, x, y)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, components_, sets = [], [], []
+        for batch in batches:
+            ids += batch.column("id").to_pylist()
+            components_ += batch.column("c").to_pylist()
+            sets += [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
+        order = np.argsort(np.asarray(ids, np.int64), kind="stable")
+        links = [(ids[order[i]], ids[order[j]]) for i, j in close_pairs([sets[k] for k in order], [components_[k] for k in order], num, den)]
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+
+    return run
+
+
+def close_pairs(sets: list[np.ndarray], groups: list[int], num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Pairs (i, j), i < j, of sets that overlap enough, as far as they connect what is not yet connected."""
+    count = len(sets)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(count), sizes)
+    # Tokens of one set only add nothing to an overlap.
+    often = np.bincount(column, minlength=len(tokens)) > 1
+    number = np.cumsum(often) - 1
+    row, column = row[often[column]], number[column[often[column]]]
+    both = np.zeros((count, count), np.float32)
+    width = 4096
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int(often.sum()), width):
+        low, high = np.searchsorted(column, [start, start + width])
+        part = np.zeros((count, min(width, int(often.sum()) - start)), np.float32)
+        part[row[low:high], column[low:high] - start] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    enough = den * both >= num * (sizes[:, None] + sizes[None, :] - both)
+    root = {g: g for g in groups}
+
+    def find(g: int) -> int:
+        while root[g] != g:
+            root[g] = root[root[g]]
+            g = root[g]
+        return g
+
+    for i, j in zip(*np.nonzero(np.triu(enough, 1)), strict=True):
+        x, y = find(groups[i]), find(groups[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            yield int(i), int(j)
+
+
 def join_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id), a row per row of docs.
 
