@@ -9,6 +9,8 @@ full; what a shard has over at its end is cut into powers of two, which need no
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import CACHE_WORDS, raw_texts
+from .token_counts import byte_symbols
 
 WINDOW = 2048
 END_ID = 1
@@ -32,10 +35,18 @@ _PIECES = pa.schema(
 )
 
 
+#: Words of these characters are cut by PARTS and lower-cased just as the tokenizer does it; an
+#: apostrophe or any other character needs the tokenizer's own rules.
+_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
 class WordIds(dict):
     """word (bytes) -> its token ids as little-endian 32-bit numbers.
 
     The tokenizer never joins text across white space, so a text has the ids of its words in a row.
+    Plain words are cut into runs of letters, digits and signs whose merges are looked up directly;
+    runs repeat far more often than words.
     """
 
     def __init__(self, path: str):
@@ -43,12 +54,30 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.signs = {b: c for c, b in byte_symbols().items()}
+        self.runs: dict[str, bytes] = {}
+
+    def _run(self, run: str) -> bytes:
+        value = self.runs.get(run)
+        if value is None:
+            if len(self.runs) >= CACHE_WORDS:
+                self.runs.clear()
+            written = run if run.isascii() else "".join(self.signs[b] for b in run.encode())
+            ids = [t.id for t in self.model.tokenize(written)]
+            value = self.runs[run] = struct.pack(f"<{len(ids)}I", *ids)
+        return value
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        value = self[word] = np.array(ids, "<u4").tobytes()
+        text = word.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            value = b"".join(map(self._run, _PARTS.findall(text.lower())))
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            value = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = value
         return value
 
 
@@ -62,12 +91,18 @@ def word_ids(path: str) -> WordIds:
     return _word_ids[path]
 
 
+class _Numbers(dict):
+    def __missing__(self, key: bytes) -> int:
+        value = self[key] = len(self)
+        return value
+
+
 class Bm25:
     """Inverted index over the documents of a shard, given as lists of words one after another."""
 
     def __init__(self, docs: Iterable[list[bytes]]):
-        terms: dict[bytes, int] = {}
-        flat = [np.fromiter((terms.setdefault(w, len(terms)) for w in d), np.int32, len(d)) for d in docs]
+        terms = _Numbers()
+        flat = [np.fromiter(map(terms.__getitem__, d), np.int32, len(d)) for d in docs]
         self.size = size = len(flat)
         length = np.array([len(d) for d in flat], float)
         norm = K1 * (1 - B + B * length / max(length.mean(), 1)) if size else length
@@ -171,7 +206,7 @@ def pack_shard(texts: list[bytes], ids: WordIds, window: int) -> tuple[list[byte
     return tokens, windows.pieces
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), a row per piece.
 
     Every row of docs is tokenized whole and ended by id 1; each of its ids lies in one piece. A

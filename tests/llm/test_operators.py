@@ -127,7 +127,7 @@ def test_packing(spark, odd_rows):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     odd = ["a\x0bb c\x0cd", "x\x00y \x1c z", "É é ́a", "don't I'LL we've", "ΑΣ Σ", "<|endoftext|> a<|startoftext|>b", "a b \x85d", "İ ǅ 日本 12３"]
     rows = odd_rows + [(300 + k, t, "fr", "s") for k, t in enumerate(odd)]
-    got = packing.pack(documents(spark, rows), TOKENIZER).collect()
+    got = packing.pack_documents(documents(spark, rows), TOKENIZER).collect()
     want = collections.Counter()
     for d, t in pairs(rows):
         want[(d, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4").tobytes())] += 1
@@ -319,7 +319,7 @@ def test_forest_on_held_out_findings(spark):
         quality_rules.keep_good,
         secret_scan.scan,
         lambda d: token_counts.count_tokens(d, TOKENIZER),
-        lambda d: packing.pack(d, TOKENIZER),
+        lambda d: packing.pack_documents(d, TOKENIZER),
         lambda d: page_text.extract(d.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b/").alias("url"), F.col("text").alias("html"))),
         lambda d: decontaminate.leaks(d, d.select(F.col("doc_id").alias("item_id"), "text")),
     ],
