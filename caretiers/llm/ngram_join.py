@@ -275,12 +275,24 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[
         stars = materialize(stars.unionByName(more), "stars")
         tried = materialize(_filtered(more, _ends(more), found, num, den), "tried")
         links = materialize(links.unionByName(_verified(docs, tried, n, num, den, repeated)), "links")
-    # Second phase: only under tokens whose members are in several components. Members are compared
-    # block by block, so that a token of any size is spread over tasks of bounded size.
+    # Second phase: only under tokens whose members are in several components. A token of few members
+    # gives pairs, a bounded number for each member; members of a larger one are compared block by
+    # block, so that a token of any size is spread over tasks of bounded size.
     open_ = materialize(_open_tokens(shared, heads, components(links)), "open")
-    sets = _sets_of(docs, materialize(open_.select("id").distinct(), "ends"), n, repeated)
-    blocks = open_.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
-    placed = open_.join(blocks, "token").withColumn("own", F.pmod(F.xxhash64("id"), "k").cast("int"))
+    sizes = open_.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("id").bitwiseAND(F.lit((1 << 40) - 1))).alias("mark"))
+    sizes = materialize(sizes, "sizes")
+    few = open_.join(sizes.filter(F.col("m") <= FEW), "token").select("token", "id", "c")
+    right = few.select("token", F.col("id").alias("b"), F.col("c").alias("cb"))
+    pairs = few.withColumnsRenamed({"id": "a", "c": "ca"}).join(right, "token").filter("a < b and ca <> cb").select("a", "b")
+    pairs = materialize(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
+    tried = materialize(_filtered(pairs, _ends(pairs), found, num, den), "tried")
+    links = materialize(links.unionByName(_verified(docs, tried, n, num, den, repeated)), "links")
+    # Tokens with the same members need to be looked at once.
+    many = sizes.filter(F.col("m") > FEW).groupBy("m", "mark").agg(F.min("token").alias("token"))
+    many = many.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("k"))
+    placed = materialize(open_.join(many, "token").select("token", "id", "c", "k"), "placed")
+    sets = _sets_of(docs, materialize(placed.select("id").distinct(), "ends"), n, repeated)
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), "k").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
     placed = placed.select("token", "id", "c", "own", other.alias("other")).select(
         "token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "c"
@@ -290,6 +302,8 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[
     return found.join(heads.select("set", "id"), "set", "left").select("doc_id", "size", "id"), links, components(links)
 
 
+#: Tokens of so many members give pairs.
+FEW = 24
 #: Members of a token that are compared in one task, with as many others at most.
 BLOCK = 400
 
