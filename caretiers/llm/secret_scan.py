@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 SPACE = r"[ \t\n\x0B\f\r]+"
-#: A name that is given a value, with the value in the same word or the next but one.
+#: A name that is given a value, with the value in the same word, the next or the next but one.
 NAME = r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credentials?)"
+#: name=value in one word, and a name with its sign but without a value.
+INSIDE, BARE = NAME + r"[\"']?[:=]+[^:=]", r"^[^0-9]*" + NAME + r"[\"']?[:=]+$"
 #: Labelled findings used for training at most; more are sampled by hash.
 TRAINING_ROWS = 200_000
 TREES, DEPTH, SEED = 24, 6, 11
@@ -59,20 +61,27 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, source, word_no, value, assigned, before, cue): words that may be secrets.
 
     A candidate has 12 characters or more of those that keys are made of and a digit among them, or
-    16 capitals, or is the value given to a name such as password. Texts without any of these are
-    passed over after one look.
+    16 capitals, or is the value, of any length, given to a name such as password. A name with its
+    sign is no value. Texts without any of these are passed over after one look.
     """
     named = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text")
-    worth = named.filter(F.col("text").rlike(r"[0-9]|[A-Z]{16}") | F.col("text").rlike(NAME + r"[\"']?[ \t]*[:=]"))
+    worth = named.filter(F.col("text").rlike(r"[0-9]|[A-Z]{16}") | F.col("text").rlike(NAME + r"[\"']?\s*[:=]"))
     words = worth.select("doc_id", "source", F.split("text", SPACE).alias("w"))
     parts = F.transform("w", lambda w, k: F.struct(w.alias("w"), k.alias("k")))
-    looks = lambda w: w.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z0-9_+/=-]{12})|[A-Z]{16}") | w.rlike(NAME + r"[\"']?[:=]")
-    # name = "value" in three words: the name and the sign are looked for behind the value.
-    behind = lambda w, k: (k >= 2) & F.try_element_at("w", k).isin("=", ":", ":=") & F.try_element_at("w", F.greatest(k - 1, F.lit(1))).rlike(NAME + r"[\"']?$")
-    picked = words.select("doc_id", "source", "w", F.explode(F.filter(parts, lambda p: looks(p["w"]) | behind(p["w"], p["k"]))).alias("p"))
+    looks = lambda w: w.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z0-9_+/=-]{12})|[A-Z]{16}") | w.rlike(INSIDE)
+    # name = "value" in three words or two: the name and the sign are looked for behind the value.
+    back = lambda k, n: F.try_element_at("w", F.greatest(k - n + 1, F.lit(1)))
+    sign = lambda w: w.rlike(r"^[:=]+$")
+    apart = lambda w, k: (k >= 2) & sign(back(k, 1)) & back(k, 2).rlike(NAME + r"[\"']?$")
+    colon = lambda w, k: (k >= 1) & back(k, 1).rlike(NAME + r"[\"']?[:=]+$")
+    signed = lambda w, k: (k >= 1) & w.rlike(r"^[:=]+[^:=]") & back(k, 1).rlike(NAME + r"[\"']?$")
+    behind = lambda w, k: (apart(w, k) | colon(w, k) | signed(w, k)) & ~sign(w)
+    wanted = lambda p: (looks(p["w"]) | behind(p["w"], p["k"])) & ~p["w"].rlike(BARE)
+    picked = words.select("doc_id", "source", "w", F.explode(F.filter(parts, wanted)).alias("p"))
     word, k = F.col("p.w"), F.col("p.k")
-    inside = word.rlike(NAME + r"[\"']?[:=].")
-    value = F.when(inside, F.regexp_replace(word, r"^.*?[:=]", "")).otherwise(word)
+    inside = word.rlike(INSIDE)
+    value = F.when(inside, F.regexp_replace(word, r"^.*?" + NAME + r"[\"']?[:=]+", "")).otherwise(word)
+    value = F.when(signed(word, k), F.regexp_replace(value, r"^[:=]+", "")).otherwise(value)
     value = F.regexp_replace(value, r"^[\"'(\[{<]+|[\"')\]}>,;.!?]+$", "")
     at = lambda n: F.lower(F.coalesce(F.try_element_at("w", F.when(k - n >= 0, k - n + 1)), F.lit("")))
     after = F.lower(F.coalesce(F.try_element_at("w", k + 2), F.lit("")))
@@ -84,7 +93,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         (inside | behind(word, k)).cast("int").alias("assigned"),
         F.regexp_replace(F.when(at(1).rlike(r"^[:=]+$"), at(2)).otherwise(at(1)), r"[^a-z_-]", "").alias("before"),
         F.concat_ws(" ", at(3), at(2), at(1), after).alias("around"),
-    ).filter(F.length("value") >= 6)
+    ).filter(F.length("value") >= F.when(F.col("assigned") == 1, 1).otherwise(6))
 
 
 def dictionary(docs: DataFrame, least: int = WORD_COUNT) -> DataFrame:

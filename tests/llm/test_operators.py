@@ -292,6 +292,27 @@ def test_secret_scan(spark, odd_rows):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("my password: hunter22 ok", [(2, "hunter22", 1)]),
+        ('"api_key": "abcdefghijklmnop", x', [(1, "abcdefghijklmnop", 1)]),
+        ("token :q7x then", [(1, "q7x", 1)]),
+        ("pwd=ab1", [(0, "ab1", 1)]),
+        ("secret = zz", [(2, "zz", 1)]),
+        ("password\n:=\nabc", [(2, "abc", 1)]),
+        ("see https://h.org/?token=abc9", [(1, "abc9", 1)]),
+        ("auth: password: x1", [(2, "x1", 1)]),
+        ("the password: ", []),
+        ("no AWSSECRETACCESSKEY: ", []),
+        ("short a1b2", []),
+    ],
+)
+def test_values_given_to_names(spark, text, expected):
+    found = secret_scan.candidates(documents(spark, [(1, text, "en", "s")]))
+    assert sorted(map(tuple, found.select("word_no", "value", "assigned").collect())) == expected
+
+
 def test_forest_on_held_out_findings(spark):
     rng = random.Random(9)
     found = []
