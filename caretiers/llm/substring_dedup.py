@@ -3,7 +3,10 @@
 Super-k-mer partitioning. The minimiser of a window is the least hash among its short word groups.
 Consecutive windows mostly share it, so the stretch they span travels once, as one packed string, to
 the bucket of the minimiser. Equal windows have equal minimisers and meet in one bucket, where
-sorting counts them. A stretch that repeats within a chunk of documents is known to be repeated: it
+sorting counts them. A word group that many windows with different words share, such as those of a
+footer, would gather them all in one bucket: groups found often in a sample are minimisers only of
+windows that have no other, and such windows go by a hash of all their words. The sample decides about
+the sizes of buckets alone, never about the result. A stretch that repeats within a chunk of documents is known to be repeated: it
 travels once and its places do not travel at all, so a passage found in a third of all documents is
 at most one string per chunk in its bucket.
 """
@@ -28,6 +31,10 @@ GROUP = 6
 CHUNK_WORDS = 3_000_000
 #: Text bytes per bucket.
 BUCKET_BYTES = 5_000_000
+#: A word group is common if its windows alone could fill a bucket: occurrences, each with a stretch of
+#: about 400 bytes. Common groups are told by a sample of so many words, or this share if that is more.
+COMMON = BUCKET_BYTES // 400
+SAMPLE_WORDS, SAMPLE_SHARE, LEAST_SEEN = 4_000_000, 0.002, 8
 
 _BLOBS = "bucket int, doc binary, first int, last int, blob binary"
 _BLOB_SCHEMA = pa.schema([("bucket", pa.int32()), ("doc", pa.binary()), ("first", pa.int32()), ("last", pa.int32()), ("blob", pa.binary())])
@@ -59,13 +66,28 @@ class _Chunk:
         self.starts: list[int] = []
 
 
-def _stretches(chunk: _Chunk, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Super-k-mers: document, first window, last window + 1 (positions in the chunk), minimiser."""
+def _stretches(
+    chunk: _Chunk, hashes: np.ndarray, window: int, common: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Super-k-mers: document, first window, last window + 1 (positions in the chunk), minimiser.
+
+    common: hashes of common groups, sorted.
+    """
     n = len(hashes)
     starts = np.asarray(chunk.starts, np.int64)
     ends = np.append(starts[1:], n)
     groups = gram_hashes(hashes, GROUP)
+    if len(common):
+        # Common groups come after all others.
+        at = np.minimum(np.searchsorted(common, groups), len(common) - 1)
+        groups = (groups >> np.uint64(1)) | ((common[at] == groups).astype(np.uint64) << np.uint64(63))
     least = sliding_min(groups, window - GROUP + 1)
+    if len(common):
+        alone = np.flatnonzero(least >> np.uint64(63))
+        whole = np.zeros(len(alone), np.uint64)
+        for k in range(window if len(alone) else 0):
+            whole = whole * np.uint64(0x9E3779B97F4A7C15) + hashes[alone + k]
+        least[alone] = mix(whole)
     doc = np.repeat(np.arange(len(starts)), ends - starts)[: len(least)]
     valid = np.arange(len(least)) + window <= ends[doc]
     new = np.ones(len(least), bool)
@@ -75,13 +97,13 @@ def _stretches(chunk: _Chunk, hashes: np.ndarray, window: int) -> tuple[np.ndarr
     return doc[begin], begin, stop, least[begin]
 
 
-def _pack(chunk: _Chunk, hashes: WordHashes, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _pack(chunk: _Chunk, hashes: WordHashes, window: int, buckets: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
     words = chunk.words
     if len(words) < window:
         return
     ids: dict[bytes, int] = {}
     local = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int32, len(words))
-    doc, begin, stop, least = _stretches(chunk, hashes.array(list(ids))[local], window)
+    doc, begin, stop, least = _stretches(chunk, hashes.array(list(ids))[local], window, common)
     raw, width = local.tobytes(), window - 1
     order = np.argsort(least, kind="stable")
     first: dict[bytes, int] = {}
@@ -101,12 +123,17 @@ def _pack(chunk: _Chunk, hashes: WordHashes, window: int, buckets: int) -> Itera
     # Every occurrence of a string that repeats in the chunk is covered as a whole.
     known = np.flatnonzero(again)
     if len(known):
+        # Stretches stand in the order of the text: those that touch are one range.
+        last = (place + (stop - begin) + width)[known]
+        new = np.ones(len(known), bool)
+        new[1:] = (doc[known[1:]] != doc[known[:-1]]) | (place[known[1:]] > last[:-1])
+        last, known = last[np.append(new[1:], True)], known[new]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array((known % buckets).astype(np.int32)),
                 pa.array([chunk.keys[d] for d in doc[known].tolist()], pa.binary()),
                 pa.array(place[known].astype(np.int32)),
-                pa.array((place[known] + (stop - begin)[known] + width).astype(np.int32)),
+                pa.array(last.astype(np.int32)),
                 pa.nulls(len(known), pa.binary()),
             ],
             schema=_BLOB_SCHEMA,
@@ -211,7 +238,24 @@ def _count(blobs: list[bytes], window: int) -> Iterator[pa.RecordBatch]:
     )
 
 
-def covered_ranges(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def common_groups(docs: DataFrame, size: int, most: int = COMMON) -> np.ndarray:
+    """Sorted hashes of word groups found more than about `most` times in texts of `size` bytes in all."""
+    share = min(1.0, max(SAMPLE_WORDS * 6 / max(size, 1), SAMPLE_SHARE))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = [gram_hashes(hashes.array(text.split()), GROUP) for text in raw_texts(batch)]
+            group, times = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(group.view(np.int64)), pa.array(times.astype(np.int64))], ["g", "n"])
+
+    sample = docs.select("text") if share == 1.0 else docs.select("text").sample(share, 17)
+    counted = sample.mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    rows = counted.filter(F.col("n") > max(most * share, min(most, LEAST_SEEN))).select("g").collect()
+    return np.sort(np.array([r["g"] for r in rows], np.int64).view(np.uint64))
+
+
+def covered_ranges(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHUNK_WORDS, most: int = COMMON) -> DataFrame:
     """(key, ranges): word ranges to remove for each text (by its key) that has any.
 
     Equal texts have equal ranges, so a text is named by a digest of itself and not by its id.
@@ -219,6 +263,7 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHU
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = partitions_for(spark, size, BUCKET_BYTES)
+    shared = spark.sparkContext.broadcast(common_groups(docs, size, most))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, hashes = _Chunk(), WordHashes()
@@ -231,9 +276,9 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHU
                 chunk.starts.append(len(chunk.words))
                 chunk.words.extend(words)
                 if len(chunk.words) >= chunk_words:
-                    yield from _pack(chunk, hashes, window, buckets)
+                    yield from _pack(chunk, hashes, window, buckets, shared.value)
                     chunk = _Chunk()
-        yield from _pack(chunk, hashes, window, buckets)
+        yield from _pack(chunk, hashes, window, buckets, shared.value)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[bytes] = []
@@ -250,7 +295,7 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHU
     return materialize(joined, "ranges")
 
 
-def remove_repeated(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def remove_repeated(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHUNK_WORDS, most: int = COMMON) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, kept_sha256), a row per row of docs.
 
     Every word inside a window of `window` words that starts anywhere else as well, in the same text
@@ -258,7 +303,7 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, chunk_words: int = CH
     input. Null and empty texts have no words; texts shorter than a window lose none; repeated rows
     cover each other. Null ids are kept as they are, other columns are not read.
     """
-    ranges = covered_ranges(docs, window, chunk_words)
+    ranges = covered_ranges(docs, window, chunk_words, most)
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

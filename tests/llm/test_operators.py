@@ -42,6 +42,33 @@ def test_substring_dedup(spark, odd_rows, chunk):
     assert same(got.select("doc_id", "n_words", "n_removed", "kept").collect(), brute.repeated_windows(pairs(odd_rows), 8))
 
 
+@pytest.mark.parametrize("most", [0, 3])
+def test_substring_dedup_with_common_groups(spark, odd_rows, most):
+    got = substring_dedup.remove_repeated(documents(spark, odd_rows), 8, 400, most)
+    assert same(got.select("doc_id", "n_words", "n_removed", "kept").collect(), brute.repeated_windows(pairs(odd_rows), 8))
+
+
+@pytest.mark.parametrize("size", [8, 20, 34, 60])
+def test_a_footer_among_different_words_is_dealt_out(spark, size):
+    rng = random.Random(3)
+    footer = [f"foot{k}" for k in range(size)]
+    texts = [[*(f"a{rng.randrange(10**9)}" for _ in range(60)), *footer, *(f"b{rng.randrange(10**9)}" for _ in range(60))] for _ in range(300)]
+    docs = documents(spark, [(k, " ".join(t), "en", "s") for k, t in enumerate(texts)])
+    common = substring_dedup.common_groups(docs, 1000, 20)
+    assert len(common) == size - substring_dedup.GROUP + 1
+    chunk = substring_dedup._Chunk()
+    for text in texts:
+        chunk.keys.append(b"k" * 16)
+        chunk.starts.append(len(chunk.words))
+        chunk.words += [w.encode() for w in text]
+    doc, begin, stop, least = substring_dedup._stretches(chunk, substring_dedup.WordHashes().array(chunk.words), 35, common)
+    different = {}
+    for b, s, key in zip(begin.tolist(), stop.tolist(), least.tolist()):
+        different.setdefault(key, set()).add(tuple(chunk.words[b : s + 34]))
+    assert max(map(len, different.values())) <= 2
+    assert sum((stop - begin).tolist()) == sum(len(t) - 34 for t in texts)
+
+
 def test_equal_hashes_do_not_make_windows_equal(monkeypatch):
     monkeypatch.setattr(substring_dedup, "mix", lambda x: x * np.uint64(0))
     ids = np.array([0, 1, 2, 0, 1, 3, 0, 1, 2], np.int32)
