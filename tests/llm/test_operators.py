@@ -254,6 +254,30 @@ def test_decontamination_recall_and_precision(spark):
     assert clean.count() == len(rows) - len({d for d, _ in found}) - 1
 
 
+@pytest.mark.parametrize("size", [24, 64, 65, 256, 512, 1000])
+def test_long_items_with_all_edits_are_found(size):
+    rng = random.Random(size)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=size))) for k in range(20)]
+    texts = []
+    for _, text in items:
+        body, edits = text.split(), decontaminate.allowed_edits(size)
+        for at in sorted(rng.sample(range(size), edits), reverse=True):
+            kind = rng.choice("sid")
+            body[at : at + (kind != "i")] = [] if kind == "d" else [f"new{rng.randrange(10**6)}"]
+        texts.append(" ".join([*rng.choices(vocabulary, k=300), *body, *rng.choices(vocabulary, k=300)]))
+    found = decontaminate.Matcher(items).find(texts)
+    assert [[m.item for m in ms] for ms in found] == [[k] for k, _ in items]
+
+
+def test_short_items_and_scripts_without_spaces():
+    items = [(1, "Yes"), (2, "two words"), (3, "a b c d"), (4, "今日は良い天気ですね"), (5, "ประเทศไทยอยู่ในเอเชีย"), (6, "!?"), (7, "two words")]
+    texts = ["a b c D yes, two  words", "two more words yesterday", "彼は「今日は良い天気ですよ」と言った", "คนในประเทศไทยอยู่ในเอเชียแน่นอน", "", None]
+    found = decontaminate.Matcher(items).find(texts)
+    assert [sorted((m.item, m.first, m.distance) for m in ms) for ms in found[:2]] == [[(1, 4, 0), (2, 5, 0), (3, 0, 0), (7, 5, 0)], []]
+    assert [[(m.item, m.distance) for m in ms] for ms in found[2:]] == [[(4, 1)], [(5, 0)], [], []]
+
+
 def test_substring_distance():
     def plain(item, text):
         row = [0] * (len(text) + 1)
