@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, packing, page_text, personal_data, quality_rules, secret_scan, substring_dedup, token_counts
-from .common import ship, table
+from . import (
+    decontaminate,
+    importance,
+    line_dedup,
+    ngram_join,
+    packing,
+    page_text,
+    periodic_runs,
+    personal_data,
+    quality_rules,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    token_counts,
+)
+from .common import scratch, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,6 +107,54 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeat_some(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of one document in ten with a periodic tail, whose place and period its id decides; a
+    document without an id stays as it is."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return periodic_runs.collapse(table(spark, sf_dir, "documents"), prepare=repeat_some).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.sha2(F.concat_ws("", F.transform(listed, lambda line: F.concat(line, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), scratch(spark, "slot-map"), shards=8).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+        "map_version",
+    )
+
+
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return importance.resample(documents, benchmark).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLE["op5_substring_dedup"] = f"""
@@ -167,3 +230,92 @@ SELECT x.doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) A
        sha256(body) AS text_sha256
 FROM documents x JOIN numbered y ON y.o = coalesce(x.doc_id, 9223372036854775807) AND y.m = md5(coalesce(x.text, '')) JOIN cut USING (d)
 """
+
+# CRC-32 in SQL: what each byte adds by its distance from the end, and the CRCs of zero bytes.
+CRC_TABLES = """
+single AS MATERIALIZED (
+  SELECT b, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS v
+  FROM (SELECT unnest(range(256)) AS b)
+), added AS (
+  SELECT 1 AS d, b, v FROM single
+  UNION ALL SELECT d + 1, a.b, xor(a.v >> 8, s.v) FROM added a JOIN single s ON s.b = a.v & 255 WHERE d < (SELECT max(n) FROM lengths)
+), zeros AS (
+  SELECT 0::BIGINT AS n, 4294967295::BIGINT AS z
+  UNION ALL SELECT n + 1, xor(z >> 8, v) FROM zeros JOIN single ON b = z & 255 WHERE n < (SELECT max(n) FROM lengths)
+), crcs AS (
+  SELECT s, xor(bit_xor(v), any_value(xor(z, 4294967295))) AS crc
+  FROM (SELECT s, strlen(s) AS n, hex(encode(s)) AS x, unnest(range(1, strlen(s) + 1)) AS i FROM strings) t
+  JOIN added ON d = n - i + 1 AND b = ('0x' || substr(x, CAST(2 * i - 1 AS BIGINT), 2))::INT JOIN zeros USING (n) GROUP BY s
+)"""
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op11_periodic_runs"] = f"""
+WITH RECURSIVE texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents
+), strings AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM texts WHERE doc_id IS NOT NULL
+), lengths AS (SELECT max(strlen(s)) AS n FROM strings
+), {CRC_TABLES}, placed AS MATERIALIZED (
+  SELECT r, doc_id, w, len(w) AS n, crc % 10 = 0 AND len(w) > 0 AS tail, (crc // 10) % greatest(len(w), 1) AS a, crc // 10 AS g
+  FROM texts LEFT JOIN crcs ON s = CAST(doc_id AS VARCHAR)
+), words AS MATERIALIZED (
+  SELECT r, n, i, w[CASE WHEN tail AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END + 1] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM placed)
+), pairs AS MATERIALIZED (
+  SELECT x.r, x.i, y.i - x.i AS d FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), enough AS (
+  SELECT r, d FROM pairs GROUP BY r, d HAVING count(*) >= greatest(24 - d, 2 * d)
+), islands AS (
+  SELECT r, d, i, i - row_number() OVER (PARTITION BY r, d ORDER BY i) AS g FROM pairs JOIN enough USING (r, d)
+), stretches AS (
+  SELECT r, d, min(i) AS start, count(*) + d AS length FROM islands GROUP BY r, d, g HAVING count(*) + d >= greatest(24, 3 * d)
+), runs AS MATERIALIZED (
+  SELECT r, start, length, min(d) AS period FROM stretches GROUP BY r, start, length
+), listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY r
+), best AS (
+  SELECT r, start, length, period FROM runs
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY length / period DESC, start, period) = 1
+), gone AS (
+  SELECT DISTINCT r, i FROM (SELECT r, unnest(range(start + period, start + length)) AS i FROM runs)
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS body FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLE["op13_importance"] = rf"""
+WITH RECURSIVE sides AS (
+  SELECT true AS wanted, CAST(NULL AS BIGINT) AS doc_id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents
+), texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, wanted, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM sides
+), grams AS MATERIALIZED (
+  SELECT r, wanted, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT *, unnest([1, 2, 3]) AS n FROM texts) WHERE len(w) >= n)
+), strings AS MATERIALIZED (SELECT DISTINCT s FROM grams
+), lengths AS (SELECT max(strlen(s)) AS n FROM strings
+), {CRC_TABLES}, dealt AS MATERIALIZED (
+  SELECT r, wanted, crc % 10000 AS b FROM grams JOIN crcs USING (s)
+), counted AS (
+  SELECT b, count(*) FILTER (NOT wanted) AS s, count(*) FILTER (wanted) AS t FROM dealt GROUP BY b
+), whole AS (
+  SELECT count(*) FILTER (NOT wanted) AS s_all, count(*) FILTER (wanted) AS t_all FROM dealt
+), gains AS (
+  SELECT b, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM counted, whole
+), weights AS (
+  SELECT r, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM dealt JOIN gains USING (b) WHERE NOT wanted GROUP BY r
+), scored AS (
+  SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weights USING (r) WHERE NOT wanted
+), ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN k <= (SELECT 5 * count(*) // 100 FROM ranked) THEN CAST(k AS BIGINT) END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""
