@@ -87,8 +87,9 @@ class PipelineConfig:
 
     ``multi_line`` allows line breaks inside CSV values; such files cannot be split.
     ``checks`` makes the run write the failing rows of the gold tables to ``failed_checks``.
-    ``compact_after`` is how many upserts are kept apart before they are merged. ``now`` sets the
-    clock.
+    ``compact_after`` is how many upserts are kept apart before they are merged, and ``buckets`` how
+    many files by key an upserted table has per version, fixed when it is first written. ``now`` sets
+    the clock.
     """
 
     landing_root: str
@@ -102,6 +103,7 @@ class PipelineConfig:
     layers: Layers = field(default_factory=Layers)
     silver_mode: str = "append"
     compact_after: int = 16
+    buckets: int = 16
     checks: bool = False
     now: datetime | None = None
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from caretiers.functions import as_number, as_timestamp, code, column_or_null, minutes_between
 from caretiers.operators.latest import latest_by
 from caretiers.operators.quality import valid_costs, valid_encounter
-from caretiers.schemas import INGESTED_AT, SOURCE_FILE
+from caretiers.schemas import INGESTED_AT, LANDING_DAY
 
 COST_COLUMNS = ("base_encounter_cost", "total_claim_cost", "payer_coverage")
 
@@ -35,7 +35,7 @@ def typed_costs(billing: DataFrame) -> DataFrame:
         column_or_null(billing, "encounterclass").alias("encounter_class"),
         *[as_number(c).alias(c) for c in COST_COLUMNS],
         INGESTED_AT,
-        *([SOURCE_FILE] if SOURCE_FILE in billing.columns else []),
+        *([LANDING_DAY] if LANDING_DAY in billing.columns else []),
     )
 
 
@@ -48,7 +48,7 @@ def normalize_codes(encounters: DataFrame) -> DataFrame:
         code("encounter_class").alias("encounter_class_code"),
         code("reason_code").alias("reason_code"),
         INGESTED_AT,
-        *([SOURCE_FILE] if SOURCE_FILE in encounters.columns else []),
+        *([LANDING_DAY] if LANDING_DAY in encounters.columns else []),
     )
 
 
@@ -81,10 +81,10 @@ def clean_encounters(api: DataFrame, csv: DataFrame) -> DataFrame:
     encounter is dropped rather than taken for one without billing.
     """
     clinical = with_duration(normalize_codes(api)).where(valid_encounter())
-    clinical_ties = [c for c in (SOURCE_FILE,) if c in clinical.columns]
+    clinical_ties = [c for c in (LANDING_DAY,) if c in clinical.columns]
     costs = fill_defaults(typed_costs(csv).where(F.col("id").isNotNull()))
     costs = costs.withColumn("_valid", valid_costs())
-    cost_ties = [c for c in (SOURCE_FILE,) if c in costs.columns]
+    cost_ties = [c for c in (LANDING_DAY,) if c in costs.columns]
 
     clinical = latest_by(clinical, ["encounter_id"], [INGESTED_AT], clinical_ties)
     costs = latest_by(costs, ["id"], ["_valid", INGESTED_AT], cost_ties)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caretiers.functions import column_or_null, match_key, split_part
 from caretiers.operators.latest import latest_by
-from caretiers.schemas import INGESTED_AT, SOURCE_FILE
+from caretiers.schemas import INGESTED_AT, LANDING_DAY
 
 # CSV header names and what they are called from silver on.
 CSV_RENAMES = {
@@ -72,10 +72,11 @@ def with_person_key(df: DataFrame) -> DataFrame:
 def _latest_side(df: DataFrame, source: str) -> DataFrame:
     """Newest row per patient of one source, columns prefixed with the source name.
 
-    The key is a pair (text, is missing), so rows without an id meet in the join as one key.
+    The key is a pair (text, is missing), so rows without an id meet in the join as one key. Of rows
+    taken in at the same time the one landed on the later day is the newer.
     """
     fields = [c for c, sources in FIELD_SOURCES.items() if source in sources]
-    ties = [SOURCE_FILE] if SOURCE_FILE in df.columns else []
+    ties = [LANDING_DAY] if LANDING_DAY in df.columns else []
     side = df.select(
         F.coalesce("patient_id", F.lit("")).alias("_id"),
         F.col("patient_id").isNull().alias("_no_id"),

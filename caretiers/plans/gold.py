@@ -13,9 +13,13 @@ from caretiers.schemas import (
 
 
 def dim_patient(silver: DataFrame) -> DataFrame:
-    """Newest silver record of every patient; the full name is NULL when a part is."""
+    """Newest silver record of every patient; the full name is NULL when a part is.
+
+    Of records taken in at the same time that of the later silver load is the newer one.
+    """
     stored = [c for c in DIM_PATIENT_COLUMNS if c != "full_name"]
-    newest = latest_by(silver.select(*stored), ["patient_id"], ["ingestion_time"])
+    ties = [c for c in ("silver_load_time",) if c in silver.columns]
+    newest = latest_by(silver.select(*stored, *ties), ["patient_id"], ["ingestion_time"], ties)
     named = newest.withColumn("full_name", F.concat("first_name", F.lit(" "), "last_name"))
     return named.select(*DIM_PATIENT_COLUMNS)
 

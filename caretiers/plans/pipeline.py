@@ -7,12 +7,12 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from caretiers.config import PipelineConfig, remove_dir, scratch_dir
 from caretiers.operators.flatten import blank_missing, flatten_encounters, flatten_patients
 from caretiers.operators.quality import gold_checks
-from caretiers.operators.upsert import upsert
+from caretiers.operators.upsert import upsert, versions_since
 from caretiers.plans.gold import dim_patient, fact_encounter, mart_patient_summary
 from caretiers.plans.silver import silver_encounters, silver_patients
 from caretiers.sources.bundles import stage_resources
@@ -26,7 +26,13 @@ from caretiers.sources.delimited import (
     stamp,
 )
 from caretiers.sources.landing import land
-from caretiers.sources.tables import append_table, materialize_table, scan
+from caretiers.sources.tables import (
+    append_load,
+    loads_since,
+    materialize_table,
+    scan,
+    taken_from_source,
+)
 from caretiers.streaming.bronze import run_all
 
 log = logging.getLogger(__name__)
@@ -112,26 +118,40 @@ def build_silver(spark: SparkSession, config: PipelineConfig, as_of: date | str
         config.now,
     )
     if config.silver_mode == "upsert":
-        order, after = ["ingestion_time"], config.compact_after
+        order, how = ["ingestion_time"], (config.compact_after, config.buckets)
         side_by_side(
-            lambda: upsert(patients, f"{silver}.silver_patients", "patient_id", order, after),
-            lambda: upsert(encounters, f"{silver}.silver_encounters", "encounter_id", order, after),
+            lambda: upsert(patients, f"{silver}.silver_patients", "patient_id", order, *how),
+            lambda: upsert(encounters, f"{silver}.silver_encounters", "encounter_id", order, *how),
         )
     else:
+        day = as_of or (config.now.date() if config.now else None)
         side_by_side(
-            lambda: append_table(patients, f"{silver}.silver_patients"),
-            lambda: append_table(encounters, f"{silver}.silver_encounters"),
+            lambda: append_load(patients, f"{silver}.silver_patients", day),
+            lambda: append_load(encounters, f"{silver}.silver_encounters", day),
         )
 
 
+def new_silver_patients(spark: SparkSession, config: PipelineConfig) -> tuple[DataFrame, int]:
+    """Silver patients that the dimension has not taken in yet, and the last load among them.
+
+    The dimension says which load it holds. Loads of runs that died before gold are among the new ones,
+    however long ago that was.
+    """
+    people = f"{config.layers.silver}.silver_patients"
+    taken = taken_from_source(spark, f"{config.layers.gold}.dim_patient")
+    if config.silver_mode == "upsert":
+        return versions_since(spark, people, "patient_id", taken)
+    return loads_since(spark, people, taken)
+
+
 def build_gold(spark: SparkSession, config: PipelineConfig) -> None:
     """Upsert the dimension, rebuild the fact and the mart."""
     silver, gold = config.layers.silver, config.layers.gold
-    # The dimension already holds what earlier runs brought: only the rows of the last one count.
-    people = scan(spark, f"{silver}.silver_patients")
-    last = people.agg(F.max("silver_load_time")).first()[0]
-    dim = dim_patient(people.where(F.col("silver_load_time") == F.lit(last)))
-    upsert(dim, f"{gold}.dim_patient", "patient_id", ["ingestion_time"], config.compact_after)
+    people, last = new_silver_patients(spark, config)
+    upsert(
+        dim_patient(people), f"{gold}.dim_patient", "patient_id", ["ingestion_time"],
+        config.compact_after, config.buckets, last,
+    )
     fact = fact_encounter(scan(spark, f"{silver}.silver_encounters"))
     materialize_table(fact, f"{gold}.fact_encounter")
     mart = mart_patient_summary(

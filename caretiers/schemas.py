@@ -85,3 +85,5 @@ MART_COLUMNS = (
 INGESTED_AT = "_ingestion_timestamp"
 SOURCE_FILE = "_source_file"
 LOAD_DATE = "_load_date"
+# The day a file was landed on, by the folder it lies in.
+LANDING_DAY = "load_date"

@@ -1,4 +1,4 @@
-"""Catalog tables: scans, appends, and replacements that readers see all at once.
+"""Catalog tables: scans, appends, loads, and replacements that readers see all at once.
 
 A replaced table is a view over data tables. New rows are written where the view does not look yet;
 re-creating the view is the single step that publishes them. A job that dies before that step leaves
@@ -7,9 +7,20 @@ readers with the old rows, and running it again gives the right result. One writ
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date, datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, LongType, ShortType
 
 VERSION_PROPERTY = "caretiers.version"
+# How much of its source a table holds: the last load or version of the source that was taken in.
+TAKEN_PROPERTY = "caretiers.taken"
+LOAD_DAY, LOAD = "_load_day", "_load"
+# A value of the first type is held by the second without loss.
+SAFE_WIDENING: set[tuple[DataType, DataType]] = {
+    (ShortType(), IntegerType()), (ShortType(), LongType()), (IntegerType(), LongType()),
+    (FloatType(), DoubleType()), (ShortType(), DoubleType()), (IntegerType(), DoubleType()),
+}
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
@@ -20,19 +31,90 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").saveAsTable(name)
 
 
+def fitted(batch: DataFrame, target: DataFrame, name: str) -> DataFrame:
+    """The batch with the columns of the target; types may only be widened."""
+    have, want = ({f.name: f.dataType for f in df.schema} for df in (batch, target))
+    if set(have) != set(want):
+        raise ValueError(f"{name} has the columns {list(want)}, the new rows have {list(have)}")
+    for column, kind in want.items():
+        if have[column] != kind and (have[column], kind) not in SAFE_WIDENING:
+            raise ValueError(f"{name}.{column} is {kind.simpleString()}, not {have[column].simpleString()}")
+    return batch.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in want.items()])
+
+
+# --- tables of loads ------------------------------------------------------------------------
+
+
+def loads(spark: SparkSession, name: str) -> list[int]:
+    """Numbers of the loads of a table; looks at the catalog only."""
+    partitions = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return sorted(int(r["partition"].rpartition(f"{LOAD}=")[2]) for r in partitions)
+
+
+def append_load(df: DataFrame, name: str, day: date | str | None = None) -> int:
+    """Append rows as a load of their own and return its number, which is one more than the last.
+
+    Every load is a partition, below the partition of its day (default: today, UTC), so that readers
+    can take a day or what is new since a load without looking at the rest. A load whose write died is
+    not in the catalog: the next one has its number and replaces what it has left. One writer at
+    a time.
+    """
+    spark = df.sparkSession
+    day = str(day or datetime.now(timezone.utc).date())
+    if not spark.catalog.tableExists(name):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(
+            f"CREATE TABLE {name} ({fields}, {LOAD_DAY} DATE, {LOAD} INT) "
+            f"USING parquet PARTITIONED BY ({LOAD_DAY}, {LOAD})"
+        )
+    number = max(loads(spark, name), default=0) + 1
+    rows = fitted(df, spark.table(name).drop(LOAD_DAY, LOAD), name)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({LOAD_DAY} = DATE '{day}', {LOAD} = {number}) "
+        "SELECT * FROM {rows}",
+        rows=rows,
+    )
+    return number
+
+
+def loads_since(spark: SparkSession, name: str, taken: int) -> tuple[DataFrame, int]:
+    """Rows of the loads after number ``taken``, and the last number they reach."""
+    last = max(loads(spark, name), default=0)
+    rows = spark.table(name).where((F.col(LOAD) > taken) & (F.col(LOAD) <= last))
+    return rows.drop(LOAD_DAY, LOAD), last
+
+
+# --- published tables -----------------------------------------------------------------------
+
+
+def properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """Properties of a table or view; none where there is no such name."""
+    if not spark.catalog.tableExists(name):
+        return {}
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
 def published(spark: SparkSession, name: str) -> list[int] | None:
     """The numbers in a view's version property, or None where there is no such view."""
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(f"key = '{VERSION_PROPERTY}'").collect()
-    if not rows:
+    version = properties(spark, name).get(VERSION_PROPERTY)
+    if version is None:
         raise ValueError(f"{name} was not written by materialize_table or upsert")
-    return [int(n) for n in rows[0]["value"].split(",")]
+    return [int(n) for n in version.split(",")]
+
+
+def taken_from_source(spark: SparkSession, name: str) -> int:
+    """The last load of its source that a published table holds, 0 if it holds none."""
+    return int(properties(spark, name).get(TAKEN_PROPERTY, 0))
 
 
-def publish(spark: SparkSession, name: str, version: str, body: str) -> None:
+def publish(spark: SparkSession, name: str, version: str, body: str, taken: int | None = None) -> None:
+    """Show new rows and, in the same step, how much of the source they hold (default: as before)."""
+    taken = taken_from_source(spark, name) if taken is None else taken
     spark.sql(
-        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION_PROPERTY}' = '{version}') AS {body}"
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES "
+        f"('{VERSION_PROPERTY}' = '{version}', '{TAKEN_PROPERTY}' = '{taken}') AS {body}"
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from caretiers.config import DatasetConfig
 from caretiers.functions import instant
-from caretiers.schemas import INGESTED_AT, LOAD_DATE, SOURCE_FILE
+from caretiers.schemas import INGESTED_AT, LANDING_DAY, LOAD_DATE, SOURCE_FILE
 from caretiers.sources.delimited import MALFORMED
 from caretiers.streaming.layouts import (
     Layout,
@@ -37,7 +37,6 @@ BATCH = "_batch"
 # The file source leaves out files that are older than the newest one by more than this. Landing
 # files must never be lost, whatever their date, so it is more than any two dates can differ.
 ANY_AGE = "1000000d"
-LANDING_DAY = "load_date"
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from caretiers.operators import upsert as upsert_module
-from caretiers.operators.upsert import data_table, upsert
+from caretiers.operators.latest import latest_by
+from caretiers.operators.upsert import data_table, upsert, versions_since
 from caretiers.plans.gold import dim_patient, fact_encounter, mart_patient_summary
 from caretiers.schemas import (
     DIM_PATIENT_COLUMNS,
@@ -13,6 +14,7 @@ from caretiers.schemas import (
     SILVER_ENCOUNTER_COLUMNS,
     SILVER_PATIENT_COLUMNS,
 )
+from caretiers.sources.tables import append_load, loads, loads_since, taken_from_source
 
 from conftest import plan_of, rows
 
@@ -231,3 +233,99 @@ def test_upsert_that_dies_before_publishing_changes_nothing(spark, database, mon
     assert rows(spark.table(name), "k", "v") == [("a", "x"), ("b", "x")]
     upsert(batch(spark, ("a", 2, "y"), ("c", 2, "y")), name, "k", ["t"])
     assert rows(spark.table(name), "k", "v") == [("a", "y"), ("b", "x"), ("c", "y")]
+
+
+def test_a_table_is_read_and_joined_without_shuffling_it(spark, database):
+    name = f"{database}.people"
+    upsert(batch(spark, ("a", 1, "x"), ("b", 1, "x"), (None, 1, "x")), name, "k", ["t"], 3, 4)
+    upsert(batch(spark, ("b", 2, "y")), name, "k", ["t"], 3, 4)
+    for _ in range(2):
+        shown = spark.table(name)
+        assert "Exchange" not in plan_of(shown)
+        assert rows(shown, "k", "v") == [(None, "x"), ("a", "x"), ("b", "y")]
+        other = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("k"), "id")
+        joined = shown.join(other.hint("merge"), "k", "left")
+        assert plan_of(joined).count("Exchange hashpartitioning") == 1
+        # A merged version keeps the buckets.
+        upsert(batch(spark, ("b", 3, "y")), name, "k", ["t"], 3, 4)
+        upsert(batch(spark, ("b", 4, "y")), name, "k", ["t"], 3, 4)
+    files = [r[0] for r in spark.sql(f"SELECT DISTINCT _metadata.file_path FROM {data_table(name)}").collect()]
+    assert len(files) <= 4 * spark.sql(f"SHOW PARTITIONS {data_table(name)}").count()
+
+
+def test_what_was_upserted_since_a_version(spark, database):
+    name = f"{database}.people"
+    upsert(batch(spark, ("a", 1, "x"), ("b", 1, "x")), name, "k", ["t"], 3, 4)
+    upsert(batch(spark, ("b", 2, "y")), name, "k", ["t"], 3, 4)
+    upsert(batch(spark, ("b", 3, "z"), ("c", 3, "z")), name, "k", ["t"], 3, 4)
+
+    def since(taken):
+        found, last = versions_since(spark, name, "k", taken)
+        return rows(found, "k", "v"), last
+
+    assert since(0) == ([("a", "x"), ("b", "z"), ("c", "z")], 3)
+    assert since(1) == ([("b", "z"), ("c", "z")], 3)
+    assert since(3) == ([], 3)
+    # The fourth version is merged with the others into a fifth: all rows count as new.
+    upsert(batch(spark, ("d", 4, "w")), name, "k", ["t"], 3, 4)
+    assert since(3) == ([("a", "x"), ("b", "z"), ("c", "z"), ("d", "w")], 5)
+    upsert(batch(spark, ("d", 5, "v")), name, "k", ["t"], 3, 4)
+    assert since(5) == ([("d", "v")], 6)
+
+
+def test_a_table_says_how_much_of_its_source_it_holds(spark, database):
+    name = f"{database}.people"
+    assert taken_from_source(spark, name) == 0
+    upsert(batch(spark, ("a", 1, "x")), name, "k", ["t"], 2, 4, taken=3)
+    assert taken_from_source(spark, name) == 3
+    for t in range(2, 5):
+        upsert(batch(spark, ("a", t, "x")), name, "k", ["t"], 2, 4)
+        assert taken_from_source(spark, name) == 3
+    upsert(batch(spark, ("a", 9, "x")).limit(0), name, "k", ["t"], 2, 4, taken=7)
+    assert taken_from_source(spark, name) == 7
+
+
+# --- loads ------------------------------------------------------------------------------------
+
+
+def test_loads_are_numbered_and_read_alone(spark, database):
+    name = f"{database}.visits"
+    days = ["2024-01-01", "2024-01-02", "2024-01-02"]
+    assert [append_load(batch(spark, (d, i, "x")), name, d) for i, d in enumerate(days)] == [1, 2, 3]
+    assert loads(spark, name) == [1, 2, 3]
+    new, last = loads_since(spark, name, 1)
+    assert last == 3 and rows(new) == [("2024-01-02", 1, "x"), ("2024-01-02", 2, "x")]
+    assert new.columns == ["k", "t", "v"]
+    plan = plan_of(new)
+    assert "PartitionFilters: [isnotnull(_load" in plan and "(_load#" in plan
+    files = new.select(F.input_file_name().alias("f")).distinct().collect()
+    assert all("_load_day=2024-01-02" in r["f"] for r in files)
+    assert plan_of(spark.table(name).where("_load_day = DATE '2024-01-02'")).count("_load_day") > 0
+    assert loads_since(spark, name, 3)[0].isEmpty()
+
+
+def test_a_load_that_died_is_replaced(spark, database, tmp_path):
+    name = f"{database}.visits"
+    append_load(batch(spark, ("a", 1, "x")), name, "2024-01-01")
+    # Files of a second load that was never entered in the catalog.
+    left = f"{tmp_path}/db/visits/_load_day=2024-01-02/_load=2"
+    batch(spark, ("dead", 1, "x")).write.parquet(left)
+    assert append_load(batch(spark, ("b", 2, "y")), name, "2024-01-02") == 2
+    assert rows(spark.table(name), "k") == [("a",), ("b",)]
+
+
+def test_loads_of_other_columns_are_refused(spark, database):
+    name = f"{database}.visits"
+    append_load(batch(spark, ("a", 1, "x")), name, "2024-01-01")
+    with pytest.raises(ValueError, match="columns"):
+        append_load(batch(spark, ("a", 1, "x")).drop("v"), name, "2024-01-01")
+    assert append_load(batch(spark, ("a", 1, "x")).limit(0), name, "2024-01-01") == 2
+
+
+def test_ties_are_settled_by_values(spark):
+    found = spark.createDataFrame([("a", 1, "x", None), ("a", 1, "y", 1), ("a", 1, "y", 2), ("a", 0, "z", 9)], "k string, t int, v string, n int")
+    for partitions in (1, 3):
+        kept = latest_by(found.repartition(partitions), ["k"], ["t"])
+        assert rows(kept) == [("a", 1, "y", 2)]
+    maps = found.withColumn("m", F.create_map(F.lit("x"), F.col("n")))
+    assert latest_by(maps, ["k"], ["t"]).first()["n"] == 2

@@ -7,7 +7,8 @@ from datetime import datetime
 import pytest
 
 from caretiers.config import Layers, PipelineConfig
-from caretiers.plans.pipeline import run_pipeline
+from caretiers.plans import pipeline
+from caretiers.plans.pipeline import new_silver_patients, run_pipeline
 
 from conftest import rows
 
@@ -96,3 +97,42 @@ def test_incomplete_extract_stops_the_run(spark, tmp_path):
     )
     with pytest.raises(ValueError, match="no rows"):
         run_pipeline(spark, config)
+
+
+@pytest.mark.parametrize("mode", ["append", "upsert"])
+def test_people_of_a_run_that_died_before_gold_arrive_later(spark, tmp_path, monkeypatch, mode):
+    suffix = uuid.uuid4().hex
+    layers = Layers(f"bronze_{suffix}", f"silver_{suffix}", f"gold_{suffix}")
+
+    def run(day, people):
+        path = sources(tmp_path, day, people, [visit(f"e{day}", "p1", 30)], {f"e{day}": 10})
+        config = PipelineConfig(
+            landing_root=str(tmp_path / "landing"), checkpoint_root=str(tmp_path / "checkpoints"),
+            warehouse_root=str(tmp_path / "warehouse"), fhir_path=str(path / "fhir"),
+            encounters_csv=str(path / "encounters.csv"), patients_csv=str(path / "patients.csv"),
+            layers=layers, silver_mode=mode, buckets=4, now=datetime(2024, 1, day, 12),
+        )
+        return config, run_pipeline(spark, config)
+
+    def die(*args):
+        raise RuntimeError("lost driver")
+
+    run(1, [patient("p1", "Ann", "Dahl"), patient("p2", "Bea", "Berg")])
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "build_gold", die)
+        with pytest.raises(RuntimeError, match="lost driver"):
+            run(2, [patient("p2", "Bea", "Bing"), patient("p3", "Cleo", "Cole")])
+    # Bronze rows of day 2 are not recent any more on day 9.
+    config, mart = run(9, [patient("p4", "Dan", "Dorn")])
+    assert rows(mart, "patient_id", "full_name") == [
+        ("p1", "ann dahl"), ("p2", "Bea Bing"), ("p3", "Cleo Cole"), ("p4", "Dan Dorn"), ("p9", "Nora Only"),
+    ]
+    people, last = new_silver_patients(spark, config)
+    assert last == 3 and people.isEmpty()
+    config, _ = run(10, [patient("p5", "Eva", "Ek")])
+    taken = pipeline.taken_from_source(spark, f"{layers.gold}.dim_patient")
+    assert taken == 4
+    if mode == "append":
+        # The dimension reads one load of one day.
+        people, _ = pipeline.loads_since(spark, f"{layers.silver}.silver_patients", taken - 1)
+        assert {f.split("_load_day=")[1][:10] for f in people.inputFiles()} == {"2024-01-10"}
