@@ -55,7 +55,9 @@ class DatasetConfig:
     ``max_files_per_trigger`` bounds a micro-batch, and with it the list of file names the
     driver holds. ``multi_line`` reads values with line breaks, which landing files may hold; only
     zones without any may turn it off, to split huge files. ``columns`` is only needed for the
-    fixed-layout stream.
+    fixed-layout stream. With ``archive_path``, a folder outside the zone, files that were taken in are
+    moved there, below their old path, when the next ones are taken in: a run then lists the files
+    of the last micro-batch and new ones, not all that ever came.
     """
 
     name: str
@@ -65,6 +67,7 @@ class DatasetConfig:
     max_files_per_trigger: int = 10_000
     multi_line: bool = True
     columns: tuple[str, ...] | None = None
+    archive_path: str | None = None
 
 
 @dataclass(frozen=True)
@@ -89,7 +92,7 @@ class PipelineConfig:
     ``checks`` makes the run write the failing rows of the gold tables to ``failed_checks``.
     ``compact_after`` is how many upserts are kept apart before they are merged, and ``buckets`` how
     many files by key an upserted table has per version, fixed when it is first written. ``now`` sets
-    the clock.
+    the clock. ``archive_root`` is where landing files go once they are in bronze (default: they stay).
     """
 
     landing_root: str
@@ -105,6 +108,7 @@ class PipelineConfig:
     compact_after: int = 16
     buckets: int = 16
     checks: bool = False
+    archive_root: str | None = None
     now: datetime | None = None
 
     def datasets(self) -> list[DatasetConfig]:
@@ -116,6 +120,7 @@ class PipelineConfig:
                 checkpoint_path=f"{self.checkpoint_root}/raw_{entity}_{source}",
                 target_table=f"{self.layers.bronze}.raw_{entity}_{source}",
                 multi_line=self.multi_line,
+                archive_path=self.archive_root,
             )
             for entity in ("patients", "encounters")
             for source in ("api", "csv")

@@ -67,9 +67,9 @@ def set_aside(
 def read_fhir(
     spark: SparkSession, config: PipelineConfig, staging: str, load_date: date | str | None
 ) -> dict[str, DataFrame]:
-    """Flat records of both resource types; unparsable bundles are set aside and reported."""
+    """Flat records of both resource types; bundles and entries that cannot be read are set aside."""
     staged = stage_resources(spark, config.fhir_path, staging, config.fhir_multiline)
-    corrupt = staged.where("content IS NOT NULL").select("source_file", "content")
+    corrupt = staged.where("content IS NOT NULL").select("source_file", "at", "content")
     set_aside(corrupt, config, "bundles", load_date)
     patients = flatten_patients(staged.where("kind = 'Patient'"))
     encounters = flatten_encounters(staged.where("kind = 'Encounter'"), load_date)
@@ -181,7 +181,7 @@ def run_pipeline(
     day = as_of or (config.now.date() if config.now else None)
     config.layers.create(spark, config.warehouse_root)
     land_sources(spark, config, day)
-    run_all(spark, config.datasets(), config.now)
+    run_all(spark, config.datasets(), config.now, f"{config.layers.bronze}.run_metrics")
     build_silver(spark, config, day)
     build_gold(spark, config)
     return scan(spark, f"{config.layers.gold}.mart_patient_summary")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from caretiers.schemas import CORRUPT, ENCOUNTER_FIELDS, PATIENT_FIELDS, bundle_schema
 
@@ -18,7 +19,8 @@ def read_bundles(
     line, of which only the first would be seen, are refused. Large exports should be
     newline-delimited (``multiline=False``): such files split across tasks, and what is no bundle by
     itself is kept as unparsable text.
-    Columns: ``entry``, the unparsable text (NULL for good bundles) and ``source_file``.
+    Columns: ``entry``, the text of bundles that are not wholly of the schema (NULL for good ones) and
+    ``source_file``.
     """
     if multiline:
         found = files_of_lines(spark, path).first()
@@ -48,13 +50,42 @@ def files_of_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def entries(bundles: DataFrame) -> DataFrame:
+    """One row per entry of a bundle: ``source_file``, its position ``at``, its resource ``r``, ``content``.
+
+    The entries of a bundle that is not wholly of the schema are parsed one by one, from their text:
+    good ones are not touched by the others, and a bad one gives what could be read of it (NULL if
+    nothing could) and has its own text in ``content``. A bundle in which no entries can be told apart
+    is one row without a position that has the whole text.
+    """
+    element = bundles.schema["entry"].dataType.elementType
+    resource = element["resource"].dataType
+    texts = F.from_json(CORRUPT, "entry array<string>")["entry"]
+
+    def item(resource_of: Column, text: Column) -> Column:
+        return F.struct(resource_of.alias("resource"), text.alias("text"))
+
+    good = F.transform("entry", lambda e: item(e["resource"], F.lit(None).cast("string")))
+    mixed = F.transform(texts, lambda t: item(F.lit(None).cast(resource), t))
+    items = F.when(F.col(CORRUPT).isNull(), good).otherwise(mixed)
+    found = bundles.select("source_file", CORRUPT, F.posexplode_outer(items).alias("at", "e"))
+    alone = StructType([*element.fields, StructField(CORRUPT, StringType())])
+    parsed = found.withColumn(
+        "alone", F.from_json("e.text", alone, {"columnNameOfCorruptRecord": CORRUPT})
+    )
+    own_text = F.when(F.col(f"alone.{CORRUPT}").isNotNull(), F.col("e.text"))
+    return parsed.select(
+        "source_file",
+        "at",
+        F.coalesce("e.resource", "alone.resource").alias("r"),
+        F.when(F.col("at").isNull(), F.col(CORRUPT)).otherwise(own_text).alias("content"),
+    )
+
+
 def resources(bundles: DataFrame, resource_type: str) -> DataFrame:
     """One row per resource of the given type: ``r`` and ``source_file``."""
-    return (
-        bundles.select("source_file", F.explode("entry").alias("e"))
-        .where(F.col("e.resource.resourceType") == resource_type)
-        .select("source_file", F.col("e.resource").alias("r"))
-    )
+    found = entries(bundles).where(F.col("r.resourceType") == resource_type)
+    return found.select("source_file", "r")
 
 
 def stage_resources(
@@ -64,27 +95,20 @@ def stage_resources(
 
     Parsing dominates the cost of reading bundles, and every type would parse them again. The
     result has the type in ``kind``, by which it is partitioned; ``content`` holds the text of
-    an unparsable bundle, on its first row or on a row of its own.
+    a bundle or an entry that is not of the schema, on a row of its own where nothing else was read.
     """
     known = list(RESOURCE_FIELDS)
-    bundles = read_bundles(spark, path, *known, multiline=multiline)
-    entries = bundles.select("source_file", CORRUPT, F.posexplode_outer("entry").alias("at", "e"))
-    kind = F.col("e.resource.resourceType")
-    staged = entries.select(
-        "source_file",
-        F.col("e.resource").alias("r"),
-        F.when(F.coalesce("at", F.lit(0)) == 0, F.col(CORRUPT)).alias("content"),
-        F.when(kind.isin(known), kind).otherwise("other").alias("kind"),
+    found = entries(read_bundles(spark, path, *known, multiline=multiline))
+    kind = F.col("r.resourceType")
+    staged = found.select(
+        "source_file", "at", "r", "content", F.when(kind.isin(known), kind).otherwise("other").alias("kind")
     ).where((F.col("kind") != "other") | F.col("content").isNotNull())
     schema = staged.schema
     staged.write.partitionBy("kind").parquet(staging)
     return spark.read.schema(schema).parquet(staging)
 
 
-def corrupt_bundles(bundles: DataFrame) -> DataFrame:
-    """Quarantine: the text that could not be parsed and the file it came from."""
-    # ``entry`` keeps the scan from being pruned to the corrupt column alone, which Spark refuses.
-    parsed = F.coalesce(F.size("entry"), F.lit(0))
-    return bundles.where(F.col(CORRUPT).isNotNull() & (parsed >= -1)).select(
-        "source_file", F.col(CORRUPT).alias("content"), F.size("entry").alias("parsed_entries")
-    )
+def corrupt_entries(bundles: DataFrame) -> DataFrame:
+    """Quarantine: each text that is not of the schema, its position in its bundle (NULL for a whole
+    bundle) and the file it came from."""
+    return entries(bundles).where(F.col("content").isNotNull()).select("source_file", "at", "content")

@@ -50,7 +50,9 @@ def malformed_records(spark: SparkSession, path: str, multi_line: bool = True) -
     read = _with_rescue(spark, path, multi_line)
     bad = F.col(MALFORMED).isNotNull() & (F.length(F.concat_ws("", F.col(f"`{read.columns[0]}`"))) >= 0)
     named = read.select("*", F.col("_metadata.file_name").alias("source_file"))
-    return named.where(bad).select("source_file", F.rtrim(MALFORMED).alias("content"))
+    # The text ends with the line break that ended the record.
+    text = F.regexp_replace(MALFORMED, "\\r?\\n\\z", "")
+    return named.where(bad).select("source_file", text.alias("content"))
 
 
 def _with_rescue(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:

@@ -15,13 +15,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from caretiers.schemas import SOURCE_FILE
 from caretiers.sources.delimited import MALFORMED, csv_reader
+from caretiers.sources.lines import first_line_of_each
 
 REGISTRY_SCHEMA = "version int, columns array<string>, header array<string>"
-# What Spark's strict CSV reader says about a file with another header.
-HEADER_MISMATCH = (
-    "CSV header does not conform to the schema",
-    "Number of column in CSV header is not equal to number of fields in the schema",
-)
 
 
 def text_schema(columns: Sequence[str]) -> StructType:
@@ -74,15 +70,6 @@ class LayoutRegistry:
         self.layout = layout
 
 
-def is_header_mismatch(error: BaseException | None) -> bool:
-    """Whether a failed read, or what caused it, is a header other than the expected one."""
-    while error is not None:
-        if any(text in str(error) for text in HEADER_MISMATCH):
-            return True
-        error = getattr(error, "_cause", None) or error.__cause__
-    return False
-
-
 def parse_header(line: str, path: str) -> tuple[str, ...]:
     names = tuple(n.strip().lower() for n in next(csv.reader([line.lstrip("\ufeff")]), []))
     if not names or "" in names or len(set(names)) < len(names):
@@ -102,21 +89,9 @@ def first_header(spark: SparkSession, path: str) -> tuple[str, ...]:
 
 
 def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Header of each file, found by a distributed scan for the files' first lines.
-
-    Every split is a partition of its own here, so the first row of the partition that starts a
-    file is its header; nothing is sorted or shuffled, and one line per file reaches the driver.
-    """
-    own = spark.newSession()
-    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
-    lines = own.read.text([literal_path(p) for p in paths]).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"),
-    )
-    first = lines.where((F.col("start") == 0) & (F.col("row") == 0)).collect()
-    return {unquote(r["path"]): parse_header(r["value"], r["path"]) for r in first}
+    """Header of each file; no file is read beyond its first line."""
+    found = first_line_of_each(spark, [literal_path(p) for p in paths])
+    return {unquote(path): parse_header(line, path) for path, line in found.items()}
 
 
 def read_layout(

@@ -255,3 +255,71 @@ def test_headers_of_split_files(spark, tmp_path):
     assert {k.rsplit("/", 1)[1]: v for k, v in got.items()} == {
         "big.csv": ("id", "first"), "small.csv": ("first", "id"),
     }
+
+
+def bytes_read(spark):
+    store = spark._jvm.org.apache.hadoop.fs.FileSystem
+    return sum(s.getBytesRead() for s in store.getAllStatistics())
+
+
+def test_looking_up_headers_reads_no_more_of_larger_files(spark, tmp_path):
+    read = []
+    for k, lines in enumerate((10_000, 2_000_000)):
+        path = tmp_path / f"{k}.csv"
+        path.write_text("id,first\n" + "1,Ann of somewhere\n" * lines)
+        before = bytes_read(spark)
+        assert list(read_headers(spark, [str(path)]).values()) == [("id", "first")]
+        read.append(bytes_read(spark) - before)
+    assert max(read) < 3_000_000 and read[1] < read[0] + 2_000_000
+
+
+def test_a_read_that_fails_for_another_reason_is_raised(spark, config, monkeypatch):
+    drop_file(config, "2024-01-01", "a.csv", "id,first\n1,Ann\n")
+    monkeypatch.setattr(bronze, "_write", lambda *a: (_ for _ in ()).throw(RuntimeError("disk full")))
+    with pytest.raises(Exception, match="disk full"):
+        run_all(spark, [config], NOW)
+
+
+@pytest.mark.parametrize("layout", ["evolving", "fixed"])
+def test_files_taken_in_leave_the_zone(spark, config, tmp_path, layout):
+    import dataclasses
+    import time
+    from pathlib import Path
+
+    config = dataclasses.replace(
+        config, archive_path=str(tmp_path / "archive"), columns=("id", "first") if layout == "fixed" else None
+    )
+
+    def files(root):
+        return sorted(p.name for p in Path(root).rglob("*.csv"))
+
+    for k in range(4):
+        drop_file(config, f"2024-01-0{k + 1}", f"{k}.csv", f"id,first\n{k},x\n")
+        if layout == "fixed":
+            stream = bronze_stream(spark, config, NOW)
+            await_all([run_bronze(stream, config.target_table, config.checkpoint_path)])
+        else:
+            run_all(spark, [config], NOW)
+        # The last micro-batch is cleaned up when the next one begins, by a thread of its own.
+        wanted = [f"{k}.csv"]
+        for _ in range(50):
+            if files(config.source_path) == wanted:
+                break
+            time.sleep(0.1)
+        assert files(config.source_path) == wanted
+        assert files(config.archive_path) == [f"{i}.csv" for i in range(k)]
+    assert rows(spark.table(config.target_table), "id") == [(str(i),) for i in range(4)]
+
+
+def test_runs_are_counted(spark, config, database):
+    table = f"{database}.run_metrics"
+    drop_file(config, "2024-01-01", "a.csv", "id,first\n1,Ann\n2,Bea\n")
+    drop_file(config, "2024-01-01", "b.csv", "first,id\nCleo,3\n")
+    run_all(spark, [config], NOW, table)
+    run_all(spark, [config], NOW, table)
+    drop_file(config, "2024-01-02", "c.csv", "id,first\n")
+    run_all(spark, [config], NOW, table)
+    got = spark.table(table)
+    assert rows(got, "zone", "ingested_at", "files", "n_rows") == [("people", NOW, 1, 0), ("people", NOW, 2, 3)]
+    batches = {r[0] for r in spark.table(config.target_table).select("_batch").distinct().collect()}
+    assert batches == {r["batch"] for r in got.where("n_rows > 0").collect()}

@@ -12,7 +12,7 @@ from caretiers.operators.flatten import (
 )
 from caretiers.schemas import ENCOUNTER_COLUMNS, PATIENT_COLUMNS
 from caretiers.sources.bundles import (
-    corrupt_bundles,
+    corrupt_entries,
     read_bundles,
     resources,
     stage_resources,
@@ -167,7 +167,7 @@ def test_records_without_id(spark, folder):
 
 
 def test_corrupt_files_are_set_aside(spark, folder):
-    got = corrupt_bundles(read_bundles(spark, folder, "Patient")).collect()
+    got = corrupt_entries(read_bundles(spark, folder, "Patient")).collect()
     assert [r["source_file"] for r in got] == ["broken.json"]
 
 
@@ -176,7 +176,7 @@ def test_corrupt_lines_are_set_aside_one_by_one(spark, tmp_path):
     write(tmp_path / "lines", "a.json", f"{good}\n{{broken\n{good}\n")
     bundles = read_bundles(spark, str(tmp_path / "lines"), "Patient", multiline=False)
     assert resources(bundles, "Patient").count() == 2
-    assert [r["content"] for r in corrupt_bundles(bundles).collect()] == ["{broken"]
+    assert [r["content"] for r in corrupt_entries(bundles).collect()] == ["{broken"]
 
 
 def test_staged_resources_equal_direct_ones(spark, folder, tmp_path):
@@ -201,3 +201,27 @@ def test_good_entries_of_a_partly_bad_bundle_stay(spark, tmp_path):
     ids = {r[0] for r in flatten_patients(staged.where("kind = 'Patient'")).collect()}
     assert "a" in ids
     assert staged.where("content IS NOT NULL").count() == 1
+
+
+def test_a_bad_entry_is_set_aside_alone(spark, tmp_path):
+    """Wrong types, no objects, missing entries: the others are read as if they stood alone."""
+    bad = [{"resource": {"resourceType": "Patient", "id": "b", "telecom": "not a list"}}, 5, "text",
+           {"resource": {"resourceType": "Patient", "id": "c", "name": [{"given": "x", "family": "F"}]}}]
+    good = [{"resource": {"resourceType": "Patient", "id": f"g{k}", "gender": "female"}} for k in range(4)]
+    mixed = [e for pair in zip(good, bad) for e in pair]
+    mixed.insert(3, None)
+    pretty = tmp_path / "files"
+    write(pretty, "a.json", json.dumps({"entry": mixed}, indent=1))
+    write(pretty, "b.json", json.dumps({"entry": good[:1]}))
+    write(pretty, "c.json", json.dumps({"entry": {"resource": {}}}, indent=1))
+    write(pretty, "d.json", '{"entry": [{"resource": ')
+    bundles = read_bundles(spark, str(pretty), "Patient")
+    found = flatten_patients(resources(bundles, "Patient"))
+    assert sorted((r["patient_id"], r["gender"]) for r in found.collect()) == [
+        ("b", None), ("c", None), ("g0", "female"), ("g0", "female"), *((f"g{k}", "female") for k in range(1, 4)),
+    ]
+    aside = {(r["source_file"], r["at"]): r["content"] for r in corrupt_entries(bundles).collect()}
+    assert {k: v for k, v in aside.items() if k[0] == "a.json"} == {
+        ("a.json", mixed.index(b)): b if b == "text" else json.dumps(b, separators=(",", ":")) for b in bad
+    }
+    assert set(aside) - {("a.json", mixed.index(b)) for b in bad} == {("c.json", None), ("d.json", None)}

@@ -124,6 +124,13 @@ def test_line_breaks_and_surplus_fields(spark, tmp_path):
     assert rows(malformed_records(spark, str(tmp_path)), "content") == [("2,Bea,EXTRA,MORE",), ("3",)]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_malformed_records_keep_their_blanks(spark, tmp_path, multi_line):
+    path = csv_file(tmp_path, "id,first\n1,a\n2,Bea,EXTRA ,MORE \t \n3 \n4,ok\n ,x, ")
+    got = {r["content"] for r in malformed_records(spark, path, multi_line).collect()}
+    assert got == {"2,Bea,EXTRA ,MORE \t ", "3 ", " ,x, "}
+
+
 def test_layers_are_created(spark, tmp_path):
     layers = Layers("t_bronze", "t_silver", "t_gold")
     layers.create(spark, str(tmp_path))

@@ -36,7 +36,7 @@ from caretiers.operators.upsert import data_table, upsert
 from caretiers.plans import gold, silver
 from caretiers.plans.pipeline import build_gold, build_silver, run_checks, run_pipeline
 from caretiers.schemas import INGESTED_AT
-from caretiers.sources.bundles import corrupt_bundles, read_bundles, resources
+from caretiers.sources.bundles import corrupt_entries, read_bundles, resources
 from caretiers.sources.delimited import (
     REQUIRED_PATIENT_COLUMNS,
     csv_reader,
@@ -189,6 +189,37 @@ def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_paths(spark.table(config.target_table))
 
 
+@query("bronze_archive")
+def bronze_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files leave the zone when later ones are taken in; bronze has the rows of all of them."""
+    root = scratch_dir(spark, "bronze")
+    config = zone(spark, new_database(spark), root, "encounters", archive_path=f"{root}/archive")
+    rows = frame(spark, sf_dir, "enc_api")
+    land(first_load(rows).drop(INGESTED_AT), config.source_path, DAY_1)
+    run_all(spark, [config], NOW_1)
+    land(second_load(rows).drop(INGESTED_AT), config.source_path, DAY_2)
+    run_all(spark, [config], NOW_2)
+    run_all(spark, [config], NOW_2)
+    left = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(config.source_path)
+    days = [r[0] for r in left.select(F.col("load_date").cast("string")).distinct().collect()]
+    return without_paths(spark.table(config.target_table)).withColumn("days_in_zone", F.lit(",".join(days)))
+
+
+@query("bronze_run_metrics")
+def bronze_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per zone and run as the runs counted them; that files are counted is shown as a fact."""
+    database, root = new_database(spark), scratch_dir(spark, "bronze")
+    configs = {name: zone(spark, database, root, name) for name in ("pat_api", "enc_api")}
+    for day, now, load in ((DAY_1, NOW_1, first_load), (DAY_2, NOW_2, second_load)):
+        for name, config in configs.items():
+            land(load(frame(spark, sf_dir, name)).drop(INGESTED_AT), config.source_path, day)
+        run_all(spark, configs.values(), now, f"{database}.run_metrics")
+    found = spark.table(f"{database}.run_metrics")
+    return found.groupBy("zone", "ingested_at").agg(
+        F.sum("n_rows").alias("n_rows"), (F.sum("files") > 0).alias("has_files")
+    )
+
+
 @query("bronze_fixed_layout")
 def bronze_fixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frame(spark, sf_dir, "enc_api").drop(INGESTED_AT)
@@ -285,11 +316,17 @@ def fhir_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fhir_quarantine")
 def fhir_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cut-off bundle for every patient among the good ones: both come out whole."""
+    """For every patient a cut-off bundle among the good ones, and a bad entry inside the good one.
+
+    Good entries come out whole, bad ones with what can be read of them and their own text.
+    """
     path = scratch_dir(spark, "fhir-corrupt")
     api = frame(spark, sf_dir, "pat_api")
     bundles = patient_bundles(api)
-    good = bundles.select(F.to_json(F.struct(*bundles.columns)).alias("value"))
+    # An entry is taken out of the array's beginning to stand behind a bad one.
+    mrn = F.get_json_object(F.to_json("entry"), "$[1].resource.identifier[1].value")
+    bad = F.format_string('{"resource":{"resourceType":"Patient","id":"bad-%s","telecom":"%s"}}', mrn, mrn)
+    good = bundles.select(F.concat(F.lit('{"entry":['), bad, F.lit(","), F.substring(F.to_json("entry"), 2, 1 << 30), F.lit("}")).alias("value"))
     cut = F.concat(F.lit('{"resourceType": "Bundle", "entry": [{"id": "'), F.col("mrn"))
     lines = good.unionByName(api.select(cut.alias("value")))
     lines.write.text(path)
@@ -300,7 +337,7 @@ def fhir_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = read_bundles(spark, path, "Patient", multiline=False)
     none = F.lit(None).cast("string")
     found = resources(read, "Patient").select(F.col("r.id").alias("patient_id"), none.alias("content"))
-    return found.unionByName(corrupt_bundles(read).select(none.alias("patient_id"), "content"))
+    return found.unionByName(corrupt_entries(read).select(none.alias("patient_id"), "content"))
 
 
 @query("source_checks")
