@@ -1,33 +1,41 @@
 """Packing: token sequences of one length, filled with lexically related documents.
 
-Documents are dealt into shards of one language and of bounded size. A shard is an inverted index
-with BM25 weights: a seed document retrieves its best unused neighbours, which fill the window that
-the seed leaves open. A neighbour that does not fit is cut and seeds the next window, so windows are
-full; what a shard has over at its end is cut into powers of two, which need no padding either.
+Documents are tokenized once. Their tokens are the terms of a BM25 index whose statistics are those of
+the whole corpus. A document is dealt into a shard by its rarest terms that others have too, so that
+related documents meet, however many shards there are. Within a shard a seed document retrieves
+unused neighbours, best first, which fill the window that it leaves open. A neighbour that does not
+fit is cut and seeds the next window, so windows are full; what a shard has over at its end is cut
+into powers of two, which need no padding either.
+
+The vocabulary bounds what the driver sees: a row per term. Shards are of bounded size: a term with too
+many documents has several shards, into which the next rarest terms deal its documents, and what
+cannot be told apart by terms (copies of one text) is split by row.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import CACHE_WORDS, raw_texts
+from .common import materialize, mix, raw_texts
 from .token_counts import byte_symbols
 
 WINDOW = 2048
 END_ID = 1
-#: Text bytes per shard: what a task holds at a time.
-SHARD_BYTES = 4_000_000
-#: A seed is looked up by its terms of the highest weight, and asks for so many neighbours at a time.
-QUERY_TERMS, NEIGHBOURS = 48, 24
+#: Tokens that a shard aims at; a shard of twice as many is split.
+SHARD_TOKENS = 400_000
+#: So many of a document's rarest shared terms deal it.
+KEY_TERMS = 3
 K1, B = 1.2, 0.75
 
 _PIECES = pa.schema(
@@ -35,50 +43,113 @@ _PIECES = pa.schema(
 )
 
 
-#: Words of these characters are cut by PARTS and lower-cased just as the tokenizer does it; an
-#: apostrophe or any other character needs the tokenizer's own rules.
-_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-_PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: Words with one of these characters (an apostrophe, say) need the tokenizer's own rules. All others
+#: are lower-cased and cut by the next pattern just as the tokenizer does it.
+_ODD = re.compile("[^!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n]|<\\|")
+_PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\\n|[^\\n0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: Words and runs that a generation remembers.
+REMEMBERED = 300_000
 
 
-class WordIds(dict):
-    """word (bytes) -> its token ids as little-endian 32-bit numbers.
+def _kind(vocabulary: int) -> str:
+    return "<u2" if vocabulary < 1 << 16 else "<u4"
 
-    The tokenizer never joins text across white space, so a text has the ids of its words in a row.
-    Plain words are cut into runs of letters, digits and signs whose merges are looked up directly;
-    runs repeat far more often than words.
-    """
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class _Runs(dict):
+    """run of letters, digits or signs (lower-cased) -> its token ids; two generations are remembered."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+    def __init__(self, model, kind: str, between: bytes):
+        self.model, self.kind, self.between = model, kind, between
         self.signs = {b: c for c, b in byte_symbols().items()}
-        self.runs: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self["\n"] = between
 
-    def _run(self, run: str) -> bytes:
-        value = self.runs.get(run)
+    def __missing__(self, run: str) -> bytes:
+        value = self.older.get(run)
         if value is None:
-            if len(self.runs) >= CACHE_WORDS:
-                self.runs.clear()
             written = run if run.isascii() else "".join(self.signs[b] for b in run.encode())
-            ids = [t.id for t in self.model.tokenize(written)]
-            value = self.runs[run] = struct.pack(f"<{len(ids)}I", *ids)
+            value = array(self.kind, [t.id for t in self.model.tokenize(written)]).tobytes()
+        self[run] = value
         return value
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
+    def age(self) -> None:
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            value = b"".join(map(self._run, _PARTS.findall(text.lower())))
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            value = struct.pack(f"<{len(ids)}I", *ids)
-        self[word] = value
-        return value
+            self["\n"] = self.between
+
+
+class WordIds:
+    """Token ids of texts, word by word, as numbers of two bytes, or four for a large vocabulary.
+
+    The tokenizer never joins text across white space, so a text has the ids of its words in a row.
+    Most words are cut into runs of letters, digits and signs whose merges are looked up directly;
+    runs repeat far more often than words. Of words and runs two generations are remembered: when the
+    newer one is full it becomes the older one, and what is met again moves on to the next.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        self.array_kind = "H" if _kind(self.size) == "<u2" else "I"
+        # No id: stands between words that are cut together.
+        self.between = (1 << 8 * array(self.array_kind).itemsize) - 1
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.runs = _Runs(self.tokenizer.model, self.array_kind, array(self.array_kind, [self.between]).tobytes())
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Remembers the ids of new words, which are cut all at once."""
+        together = b"\n".join(words).decode("utf-8", "replace")
+        odd = set()
+        if _ODD.search(together):
+            odd = {k for k, w in enumerate(together.split("\n")) if _ODD.search(w)}
+            together = "\n".join("" if k in odd else w for k, w in enumerate(together.split("\n")))
+        self.runs.age()
+        ids = b"".join(map(self.runs.__getitem__, _PARTS.findall(together.lower())))
+        step = array(self.array_kind).itemsize
+        cuts = (np.flatnonzero(np.frombuffer(ids, _kind(self.size)) == self.between) * step).tolist()
+        self.words.update(zip(words, (ids[a:b] for a, b in zip([0, *(c + step for c in cuts)], [*cuts, len(ids)]))))
+        for k in odd:
+            encoded = self.tokenizer.encode(words[k].decode("utf-8", "replace"), add_special_tokens=False)
+            self.words[words[k]] = array(self.array_kind, encoded.ids).tobytes()
+
+    def _values(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words."""
+        if len(self.words) >= REMEMBERED:
+            self.words, self.older = {}, self.words
+        found = list(map(self.words.get, words))
+        missing = [w for w, v in zip(words, found) if v is None]
+        if missing:
+            if self.older:
+                again = list(map(self.older.get, missing))
+                self.words.update((w, v) for w, v in zip(missing, again) if v is not None)
+                missing = [w for w, v in zip(missing, again) if v is None]
+            if missing:
+                self._learn(missing)
+            found = list(map(self.words.__getitem__, words))
+        return found
+
+    def of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        split = [t.split() for t in texts]
+        number: defaultdict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        size = np.array([len(w) for w in split], np.int64)
+        words = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int32, int(size.sum()))
+        values = self._values(list(number))
+        ids = np.frombuffer(b"".join(values), _kind(self.size))
+        count = np.fromiter(map(len, values), np.int64, len(values)) // ids.itemsize
+        first = np.cumsum(count) - count
+        # Every word's ids stand in `ids`; they are fetched for all words of all texts at once.
+        own = count[words]
+        ends = np.cumsum(own)
+        whole = ids[np.repeat(first[words] - (ends - own), own) + np.arange(own.sum())]
+        stops = np.concatenate(([0], ends))[np.cumsum(size)].tolist()
+        return [whole[a:b] for a, b in zip([0, *stops], stops)]
 
 
 _word_ids: dict[str, WordIds] = {}
@@ -91,51 +162,69 @@ def word_ids(path: str) -> WordIds:
     return _word_ids[path]
 
 
-class _Numbers(dict):
-    def __missing__(self, key: bytes) -> int:
-        value = self[key] = len(self)
-        return value
+class Statistics:
+    """What BM25 needs to know of the whole corpus: documents, their mean length, and per term the number
+    of documents that have it."""
+
+    def __init__(self, documents: int, tokens: int, frequency: np.ndarray):
+        self.mean = max(tokens / max(documents, 1), 1.0)
+        self.idf = np.log(1 + np.maximum(documents - frequency + 0.5, 0.5) / (frequency + 0.5))
+        # Terms by rising frequency; those of no or one document, which tell nothing, are last.
+        order = np.lexsort((np.arange(len(frequency)), np.where(frequency > 1, frequency, np.iinfo(np.int64).max)))
+        self.rarity = np.empty(len(frequency), np.int64)
+        self.rarity[order] = np.arange(len(frequency))
+        self.shared = int((frequency > 1).sum())
+
+    def keys(self, terms: np.ndarray) -> list[int]:
+        """The rarest shared terms of a document, by their rank; `shared` stands for none."""
+        ranks = np.sort(self.rarity[terms])[:KEY_TERMS]
+        found = ranks[ranks < self.shared].tolist()
+        return found + [self.shared] * (KEY_TERMS - len(found))
 
 
 class Bm25:
-    """Inverted index over the documents of a shard, given as lists of words one after another."""
-
-    def __init__(self, docs: Iterable[list[bytes]]):
-        terms = _Numbers()
-        flat = [np.fromiter(map(terms.__getitem__, d), np.int32, len(d)) for d in docs]
-        self.size = size = len(flat)
-        length = np.array([len(d) for d in flat], float)
-        norm = K1 * (1 - B + B * length / max(length.mean(), 1)) if size else length
-        owner = np.repeat(np.arange(size), length.astype(int))
-        key = (np.concatenate(flat) if flat else np.empty(0, np.int32)).astype(np.int64) * max(size, 1) + owner
-        key, count = np.unique(key, return_counts=True)
-        term, self.doc = np.divmod(key, max(size, 1))
-        df = np.bincount(term, minlength=len(terms))
-        self.begin = np.concatenate(([0], np.cumsum(df)))
-        idf = np.log(1 + (size - df + 0.5) / (df + 0.5))
-        self.weight = idf[term] * count * (K1 + 1) / (count + norm[self.doc])
-        # Terms of each document by falling weight, among those that another document has.
-        order = np.lexsort((-self.weight, self.doc))
-        order = order[df[term[order]] > 1]
-        self.terms = term[order]
-        self.at = np.searchsorted(self.doc[order], np.arange(size + 1))
+    """Inverted index over the documents of a shard, given as arrays of term numbers."""
+
+    def __init__(self, docs: Iterable[np.ndarray], corpus: Statistics):
+        found = [np.unique(d, return_counts=True) for d in docs]
+        self.terms = [terms for terms, _ in found]
+        self.size = len(found)
+        size = np.array([len(t) for t in self.terms], np.int64)
+        length = np.array([c.sum() for _, c in found], float)
+        owner = np.repeat(np.arange(self.size, dtype=np.int32), size)
+        term = np.concatenate(self.terms) if found else np.empty(0, np.uint16)
+        count = np.concatenate([c for _, c in found]) if found else np.empty(0)
+        norm = K1 * (1 - B + B * length / corpus.mean)
+        weight = corpus.idf[term] * count * (K1 + 1) / (count + norm[owner])
+        order = np.argsort(term, kind="stable")
+        self.term, self.doc, self.weight = term[order], owner[order], weight[order]
+        self.vocabulary = np.arange(len(corpus.idf) + 1)
+        self.begin = np.searchsorted(self.term, self.vocabulary)
+        self.indexed = self.size
+
+    def _forget(self, free: np.ndarray) -> None:
+        """Leaves out the postings of used documents, each time half of them are."""
+        left = int(free.sum())
+        if 2 * left <= self.indexed:
+            stays = free[self.doc]
+            self.term, self.doc, self.weight = self.term[stays], self.doc[stays], self.weight[stays]
+            self.begin = np.searchsorted(self.term, self.vocabulary)
+            self.indexed = left
 
     def neighbours(self, seed: int, free: np.ndarray) -> list[int]:
-        """The best free documents for a seed, best first; ties go to the earlier one."""
-        query = self.terms[self.at[seed] : min(self.at[seed + 1], self.at[seed] + QUERY_TERMS)].tolist()
-        if not query:
+        """All free documents that share a term with a seed, best first; ties go to the earlier one."""
+        self._forget(free)
+        terms = self.terms[seed]
+        begin = self.begin[terms]
+        count = self.begin[terms.astype(np.int64) + 1] - begin
+        ends = np.cumsum(count)
+        if not len(ends) or not ends[-1]:
             return []
-        spans = [slice(self.begin[t], self.begin[t + 1]) for t in query]
-        score = np.bincount(
-            np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.size
-        )
+        postings = np.repeat(begin - (ends - count), count) + np.arange(ends[-1])
+        score = np.bincount(self.doc[postings], self.weight[postings], self.size)
         score[~free] = 0
-        if self.size > NEIGHBOURS:
-            best = np.sort(np.argpartition(-score, NEIGHBOURS)[:NEIGHBOURS])
-        else:
-            best = np.arange(self.size)
-        best = best[np.argsort(-score[best], kind="stable")]
-        return best[score[best] > 0].tolist()
+        best = np.argsort(-score, kind="stable")
+        return best[: int((score > 0).sum())].tolist()
 
 
 class _Windows:
@@ -174,28 +263,32 @@ class _Windows:
                     self.sequence += 1
 
 
-def pack_shard(texts: list[bytes], ids: WordIds, window: int) -> tuple[list[bytes], list[tuple[int, int, int, int, int]]]:
-    """Ids of each text and the pieces that fill windows."""
-    end = np.array([END_ID], "<u4").tobytes()
-    tokens = [b"".join(map(ids.__getitem__, t.split())) + end for t in texts]
-    index = Bm25(t.lower().split() for t in texts)
-    windows = _Windows([len(t) // 4 for t in tokens], window)
-    free = np.ones(len(texts), bool)
-    cursor = 0
+def pack_shard(terms: list[np.ndarray], window: int, corpus: Statistics) -> tuple[list[tuple[int, int, int, int, int]], int, int]:
+    """The pieces that fill windows with documents, of which each has an end id behind its terms.
+
+    Besides, how often a window's open rest was given to a neighbour, and to a document that shares
+    nothing with the seed, because no free one did.
+    """
+    index = Bm25(terms, corpus)
+    windows = _Windows([len(t) + 1 for t in terms], window)
+    free = np.ones(len(terms), bool)
+    cursor = related = unrelated = 0
     seed = None
     while True:
         if seed is None:
-            while cursor < len(texts) and not free[cursor]:
+            while cursor < len(terms) and not free[cursor]:
                 cursor += 1
-            if cursor == len(texts):
+            if cursor == len(terms):
                 break
             seed = cursor
             free[seed] = False
+            unrelated += windows.used > 0
             windows.add(seed)
         at, nxt = windows.sequence, None
         if windows.used:
             for other in index.neighbours(seed, free):
                 free[other] = False
+                related += 1
                 windows.add(other)
                 if windows.sequence != at:
                     # The window is full: what is left of the last neighbour seeds the next one.
@@ -203,58 +296,138 @@ def pack_shard(texts: list[bytes], ids: WordIds, window: int) -> tuple[list[byte
                     break
         seed = nxt
     windows.close()
-    return tokens, windows.pieces
+    return windows.pieces, related, unrelated
+
 
+def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, row, ids, n): the token ids of each row of docs without an end id, in as few bytes as the
+    vocabulary allows, and their number."""
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = word_ids(tokenizer)
+        for batch in batches:
+            ids = words.of(raw_texts(batch))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("row"),
+                    pa.array([i.tobytes() for i in ids], pa.binary()),
+                    pa.array([len(i) for i in ids], pa.int64()),
+                ],
+                ["doc_id", "row", "ids", "n"],
+            )
+
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    return rows.mapInArrow(run, "doc_id long, row long, ids binary, n long")
+
+
+def _arrays(column: pa.Array, vocabulary: int) -> list[np.ndarray]:
+    kind = _kind(vocabulary)
+    return [np.frombuffer(b, kind) for b in column.to_pylist()]
+
+
+def corpus_statistics(tokens: DataFrame, vocabulary: int) -> Statistics:
+    """Document frequencies of all terms; the driver gets one row per term of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(vocabulary, np.int64)
+        for batch in batches:
+            for ids in _arrays(batch.column("ids"), vocabulary):
+                count[np.unique(ids)] += 1
+        terms = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(count[terms])], ["term", "n"])
+
+    frequency = np.zeros(vocabulary, np.int64)
+    for row in tokens.select("ids").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        frequency[row["term"]] = row["n"]
+    whole = tokens.agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    return Statistics(whole["documents"], whole["tokens"], frequency)
+
+
+def keyed(tokens: DataFrame, corpus: Statistics) -> DataFrame:
+    """Adds the rank `key` of each document's rarest shared term, and a hash `more` of the next ones."""
+    vocabulary = len(corpus.idf)
+    spread = np.arange(1, KEY_TERMS, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.array([corpus.keys(np.unique(i)) for i in _arrays(batch.column("ids"), vocabulary)], np.int64)
+            keys = keys.reshape(-1, KEY_TERMS)
+            with np.errstate(over="ignore"):
+                more = mix(keys[:, 1:].astype(np.uint64) * KEY_TERMS + spread).sum(axis=1) >> np.uint64(1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(keys[:, 0]), pa.array(more.astype(np.int64))], [*batch.schema.names, "key", "more"]
+            )
+
+    return tokens.mapInArrow(run, "doc_id long, row long, ids binary, n long, key long, more long")
+
+
+def dealt(keys: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """Adds the number of each document's shard.
+
+    Terms with few tokens share a shard, in the order of their frequency; terms with many have several.
+    A shard that is still too large holds documents with the same rarest terms: they are split by row.
+    """
+    spark = keys.sparkSession
+    cost = F.col("n") + 1
+    # The driver sees one row per term of the vocabulary.
+    sizes = keys.groupBy("key").agg(F.sum(cost).alias("size")).orderBy("key").collect()
+    base = used = 0
+    plan = []
+    for row in sizes:
+        own = -(-row["size"] // shard_tokens)
+        if own > 1 or used + row["size"] > shard_tokens:
+            base, used = base + (used > 0), 0
+        plan.append((row["key"], base, own))
+        base, used = (base + own, 0) if own > 1 else (base, used + row["size"])
+    places = spark.createDataFrame(plan, "key long, base long, own long")
+    placed = keys.join(F.broadcast(places), "key").withColumn("shard", F.col("base") + F.col("more") % F.col("own"))
+    heavy = (
+        placed.groupBy("shard")
+        .agg(F.sum(cost).alias("size"))
+        .filter(F.col("size") > 2 * shard_tokens)
+        .withColumn("parts", F.ceil(F.col("size") / shard_tokens))
+    )
+    # Numbers behind all others: as many rows here as there are shards that are split.
+    first = F.sum("parts").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    heavy = materialize(heavy.select("shard", "parts", (F.coalesce(first, F.lit(0)) + base + 1).alias("first")), "heavy")
+    split = F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts"))
+    return placed.join(heavy, "shard", "left").withColumn("shard", F.coalesce(split, F.col("shard")))
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), a row per piece.
 
     Every row of docs is tokenized whole and ended by id 1; each of its ids lies in one piece. A
     sequence has `window` ids or a power of two. Null and empty texts are the end id alone. Repeated
-    rows and null ids are packed like others; a null language is one of its own. Columns other than
-    doc_id, text and lang are not read.
+    rows and null ids are packed like others. Columns other than doc_id and text are not read.
+    `tokenizer` is a file that every machine has.
     """
-    rows = docs.select(
-        "doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"), F.monotonically_increasing_id().alias("row")
-    )
-    sizes = rows.groupBy("lang").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8).alias("bytes"))
-    # Languages of a shard or more have their own shards: not more languages than shards.
-    big = [(r["lang"], -(-r["bytes"] // SHARD_BYTES)) for r in sizes.filter(F.col("bytes") >= SHARD_BYTES).orderBy("lang").collect()]
-    rest = sizes.filter(F.col("bytes") < SHARD_BYTES).agg(F.sum("bytes")).first()[0] or 0
-    shard, base = None, 0
-    key = F.xxhash64("row")
-    for lang, count in big:
-        here = F.pmod(key, F.lit(count)) + base
-        shard = F.when(F.col("lang") == lang, here) if shard is None else shard.when(F.col("lang") == lang, here)
-        base += count
-    other = F.pmod(key, F.lit(max(1, -(-rest // SHARD_BYTES)))) + base
-    shard = other if shard is None else shard.otherwise(other)
+    tokens = materialize(tokenized(docs, tokenizer), "tokens")
+    corpus = corpus_statistics(tokens, word_ids(tokenizer).size)
+    keys = materialize(keyed(tokens, corpus), "keyed-tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, texts, order, number = [], [], [], 0
-        for batch in batches:
-            if batch.num_rows:
-                number = batch.column("shard")[0].as_py()
-            names += batch.column("doc_id").to_pylist()
-            order += batch.column("row").to_pylist()
-            texts += raw_texts(batch)
-        by = sorted(range(len(order)), key=order.__getitem__)
-        names, texts = [names[k] for k in by], [texts[k] for k in by]
-        tokens, pieces = pack_shard(texts, word_ids(tokenizer), window)
-        columns = list(zip(*pieces, strict=True)) or [()] * 5
-        doc, start, length, sequence, offset = columns
-        sums = [zlib.crc32(memoryview(tokens[d])[4 * s : 4 * (s + n)]) for d, s, n in zip(doc, start, length, strict=True)]
+        table = pa.Table.from_batches(list(batches)).sort_by("row")
+        number = table.column("shard")[0].as_py()
+        names = table.column("doc_id").to_pylist()
+        terms = _arrays(table.column("ids").combine_chunks(), len(corpus.idf))
+        pieces, _, _ = pack_shard(terms, window, corpus)
+        doc, start, length, sequence, offset = list(zip(*pieces, strict=True)) or [()] * 5
+        ids = [memoryview(np.append(t, END_ID).astype("<u4").tobytes()) for t in terms]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([names[d] for d in doc], pa.int64()),
-                *[pa.array(c, pa.int64()) for c in (start, length, sums)],
-                pa.array([len(tokens[d]) // 4 for d in doc], pa.int64()),
+                pa.array(start, pa.int64()),
+                pa.array(length, pa.int64()),
+                pa.array([zlib.crc32(ids[d][4 * s : 4 * (s + n)]) for d, s, n in zip(doc, start, length, strict=True)], pa.int64()),
+                pa.array([len(terms[d]) + 1 for d in doc], pa.int64()),
                 pa.array([(number << 32) + s for s in sequence], pa.int64()),
                 pa.array(offset, pa.int64()),
             ],
             schema=_PIECES,
         )
 
-    return rows.select("doc_id", "text", "row", shard.alias("shard")).groupBy("shard").applyInArrow(
+    return dealt(keys, shard_tokens).select("doc_id", "row", "ids", "shard").groupBy("shard").applyInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )

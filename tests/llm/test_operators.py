@@ -185,23 +185,81 @@ def test_packing(spark, odd_rows):
     assert padding == 0
 
 
+def corpus_of(docs, vocabulary):
+    frequency = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=vocabulary)
+    return packing.Statistics(len(docs), sum(map(len, docs)), frequency)
+
+
 def test_neighbours_are_those_of_plain_bm25():
     rng = random.Random(4)
-    docs = [[b"%d" % rng.randrange(40) for _ in range(rng.randint(1, 30))] for _ in range(60)]
-    index = packing.Bm25(docs)
+    docs = [np.array([rng.randrange(40) for _ in range(rng.randint(0, 30))], np.uint16) for _ in range(60)]
+    # The shard holds a third of the corpus, whose statistics count.
+    corpus, shard = corpus_of(docs, 50), docs[:20]
+    index = packing.Bm25(shard, corpus)
     mean = sum(map(len, docs)) / len(docs)
-    df = collections.Counter(w for d in docs for w in set(d))
-    for seed in range(10):
+    df = collections.Counter(w for d in docs for w in set(d.tolist()))
+    free = np.ones(len(shard), bool)
+    for seed in range(19):
+        free[seed] = False
         score = []
-        for k, d in enumerate(docs):
-            tf, norm = collections.Counter(d), packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+        for k, d in enumerate(shard):
+            tf, norm = collections.Counter(d.tolist()), packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
             idf = lambda w: np.log(1 + (len(docs) - df[w] + 0.5) / (df[w] + 0.5))
-            score.append((-sum(idf(w) * tf[w] * (packing.K1 + 1) / (tf[w] + norm) for w in set(docs[seed])), k))
-        free = np.ones(len(docs), bool)
-        free[seed] = False
-        best = [k for _, k in sorted((s, k) for s, k in score if k != seed and s < 0)][: len(index.neighbours(seed, free))]
+            score.append(sum(idf(w) * tf[w] * (packing.K1 + 1) / (tf[w] + norm) for w in set(shard[seed].tolist())))
+        best = [k for k in sorted(range(20), key=lambda k: (-round(score[k], 9), k)) if free[k] and score[k] > 0]
         got = index.neighbours(seed, free)
-        assert [round(score[k][0], 9) for k in got] == [round(score[k][0], 9) for k in best]
+        assert [round(score[k], 9) for k in got] == [round(score[k], 9) for k in best] and set(got) == set(best)
+
+
+def topical(rng, topics, each, size=400):
+    """(topic, text) of documents of many topics, which have some words of their own besides common ones."""
+    from tokenizers import Tokenizer
+
+    vocabulary = Tokenizer.from_file(TOKENIZER).get_vocab()
+    known = sorted(w[:-4] for w in vocabulary if w.endswith("</w>") and w[:-4].isascii() and w[:-4].isalpha() and len(w) > 9)
+    rng.shuffle(known)
+    docs = []
+    for t in range(topics):
+        own = known[300 + 30 * t : 330 + 30 * t]
+        docs += [(t, " ".join(rng.choice(own) if rng.random() < 0.4 else rng.choice(known[:300]) for _ in range(size))) for _ in range(each)]
+    rng.shuffle(docs)
+    return docs
+
+
+def test_windows_hold_related_documents_however_many_there_are(spark):
+    """The share of neighbouring pieces of one topic does not fall when the documents double."""
+    shares = []
+    for topics in (40, 80):
+        made = topical(random.Random(topics), topics, 6)
+        topic = {k: t for k, (t, _) in enumerate(made)}
+        docs = documents(spark, [(k, text, "en", "s") for k, (_, text) in enumerate(made)])
+        got = packing.pack_documents(docs, TOKENIZER, shard_tokens=20_000)
+        assert got.select((F.col("sequence_id") / (1 << 32)).cast("int")).distinct().count() > 5
+        windows = collections.defaultdict(list)
+        for r in got.collect():
+            windows[r["sequence_id"]].append((r["offset"], topic[r["doc_id"]]))
+        pairs_ = [(a[1], b[1]) for w in windows.values() for a, b in zip(sorted(w), sorted(w)[1:])]
+        shares.append(sum(a == b for a, b in pairs_) / len(pairs_))
+    assert shares[0] > 0.5 and shares[1] > shares[0] - 0.05
+
+
+def test_open_windows_go_to_documents_that_share_something():
+    rng = random.Random(8)
+    docs = [np.array([k % 7 * 50 + rng.randrange(50) for _ in range(rng.randint(5, 60))], np.uint16) for k in range(200)]
+    pieces, related, unrelated = packing.pack_shard(docs, 64, corpus_of(docs, 400))
+    assert sum(p[2] for p in pieces) == sum(len(d) + 1 for d in docs)
+    assert related > 10 * unrelated and unrelated <= 7
+
+
+def test_copies_and_common_terms_are_dealt_into_bounded_shards(spark):
+    rng = random.Random(5)
+    texts = ["same words here again " * 20] * 400 + [" ".join(f"w{rng.randrange(40)}" for _ in range(60)) for _ in range(300)] + ["", None]
+    docs = documents(spark, [(k, t, "en", "s") for k, t in enumerate(texts)])
+    tokens = packing.tokenized(docs, TOKENIZER).cache()
+    corpus = packing.corpus_statistics(tokens, packing.word_ids(TOKENIZER).size)
+    shards = packing.dealt(packing.keyed(tokens, corpus), 3000)
+    sizes = {r["shard"]: r["size"] for r in shards.groupBy("shard").agg(F.sum(F.col("n") + 1).alias("size")).collect()}
+    assert shards.count() == len(texts) and max(sizes.values()) < 9000 and len(sizes) > 10
 
 
 def test_quality_counts_and_verdict(spark, odd_rows):
