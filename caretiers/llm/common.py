@@ -47,13 +47,18 @@ def made_so_far() -> list[str]:
     return list(_made)
 
 
+def remove(spark: SparkSession, made: str) -> None:
+    """Removes a scratch table that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if made in _made:
+        _made.remove(made)
+
+
 def release(spark: SparkSession, keep: list[str]) -> None:
     """Removes the scratch tables but those to keep, once everything built on them is written."""
-    jvm = spark.sparkContext._jvm
     for made in [m for m in _made if m not in keep]:
-        path = jvm.org.apache.hadoop.fs.Path(made)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        _made.remove(made)
+        remove(spark, made)
 
 
 def partitions_for(spark: SparkSession, size: int, each: int) -> int:

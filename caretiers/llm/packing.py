@@ -18,16 +18,16 @@ import os
 import re
 import zlib
 from array import array
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, raw_texts
+from .common import materialize, mix, remove, scratch
 from .token_counts import byte_symbols
 
 WINDOW = 2048
@@ -47,8 +47,10 @@ _PIECES = pa.schema(
 #: are lower-cased and cut by the next pattern just as the tokenizer does it.
 _ODD = re.compile("[^!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n]|<\\|")
 _PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\\n|[^\\n0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
-#: Words and runs that a generation remembers.
-REMEMBERED = 300_000
+#: Runs that a generation remembers.
+REMEMBERED = 250_000
+#: Text bytes whose words are numbered together.
+GROUP_BYTES = 8_000_000
 
 
 def _kind(vocabulary: int) -> str:
@@ -56,7 +58,8 @@ def _kind(vocabulary: int) -> str:
 
 
 class _Runs(dict):
-    """run of letters, digits or signs (lower-cased) -> its token ids; two generations are remembered."""
+    """run of letters, digits or signs (lower-cased) -> its token ids. Two generations are remembered:
+    when the newer one is full it becomes the older one, and what is met again moves on to the next."""
 
     def __init__(self, model, kind: str, between: bytes):
         self.model, self.kind, self.between = model, kind, between
@@ -80,12 +83,11 @@ class _Runs(dict):
 
 
 class WordIds:
-    """Token ids of texts, word by word, as numbers of two bytes, or four for a large vocabulary.
+    """Token ids of texts, as numbers of two bytes, or four for a large vocabulary.
 
-    The tokenizer never joins text across white space, so a text has the ids of its words in a row.
-    Most words are cut into runs of letters, digits and signs whose merges are looked up directly;
-    runs repeat far more often than words. Of words and runs two generations are remembered: when the
-    newer one is full it becomes the older one, and what is met again moves on to the next.
+    The tokenizer never joins text across white space, so a text has the ids of its words in a row. The
+    different words of many texts are cut once, into runs of letters, digits and signs whose merges are
+    looked up directly; runs repeat far more often than words.
     """
 
     def __init__(self, path: str):
@@ -94,61 +96,49 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
-        self.array_kind = "H" if _kind(self.size) == "<u2" else "I"
+        kind = "H" if _kind(self.size) == "<u2" else "I"
         # No id: stands between words that are cut together.
-        self.between = (1 << 8 * array(self.array_kind).itemsize) - 1
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.runs = _Runs(self.tokenizer.model, self.array_kind, array(self.array_kind, [self.between]).tobytes())
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Remembers the ids of new words, which are cut all at once."""
-        together = b"\n".join(words).decode("utf-8", "replace")
-        odd = set()
-        if _ODD.search(together):
-            odd = {k for k, w in enumerate(together.split("\n")) if _ODD.search(w)}
-            together = "\n".join("" if k in odd else w for k, w in enumerate(together.split("\n")))
+        self.between = (1 << 8 * array(kind).itemsize) - 1
+        self.runs = _Runs(self.tokenizer.model, kind, array(kind, [self.between]).tobytes())
+
+    def _cut(self, words: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words, given one per line: all ids, where each word's begin, and how many it has."""
+        odd: dict[int, str] = {}
+        places = [m.start() for m in _ODD.finditer(words)]
+        if places:
+            breaks = np.flatnonzero(np.frombuffer(words.encode("utf-32-le", "replace"), "<u4") == 10)
+            listed = words.split("\n")
+            for k in np.unique(np.searchsorted(breaks, places)).tolist():
+                odd[k], listed[k] = listed[k], ""
+            words = "\n".join(listed)
         self.runs.age()
-        ids = b"".join(map(self.runs.__getitem__, _PARTS.findall(together.lower())))
-        step = array(self.array_kind).itemsize
-        cuts = (np.flatnonzero(np.frombuffer(ids, _kind(self.size)) == self.between) * step).tolist()
-        self.words.update(zip(words, (ids[a:b] for a, b in zip([0, *(c + step for c in cuts)], [*cuts, len(ids)]))))
-        for k in odd:
-            encoded = self.tokenizer.encode(words[k].decode("utf-8", "replace"), add_special_tokens=False)
-            self.words[words[k]] = array(self.array_kind, encoded.ids).tobytes()
-
-    def _values(self, words: list[bytes]) -> list[bytes]:
-        """The ids of different words."""
-        if len(self.words) >= REMEMBERED:
-            self.words, self.older = {}, self.words
-        found = list(map(self.words.get, words))
-        missing = [w for w, v in zip(words, found) if v is None]
-        if missing:
-            if self.older:
-                again = list(map(self.older.get, missing))
-                self.words.update((w, v) for w, v in zip(missing, again) if v is not None)
-                missing = [w for w, v in zip(missing, again) if v is None]
-            if missing:
-                self._learn(missing)
-            found = list(map(self.words.__getitem__, words))
-        return found
-
-    def of(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
-        split = [t.split() for t in texts]
-        number: defaultdict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        size = np.array([len(w) for w in split], np.int64)
-        words = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int32, int(size.sum()))
-        values = self._values(list(number))
-        ids = np.frombuffer(b"".join(values), _kind(self.size))
-        count = np.fromiter(map(len, values), np.int64, len(values)) // ids.itemsize
-        first = np.cumsum(count) - count
-        # Every word's ids stand in `ids`; they are fetched for all words of all texts at once.
-        own = count[words]
+        ids = np.frombuffer(b"".join(map(self.runs.__getitem__, _PARTS.findall(words.lower()))), _kind(self.size))
+        cuts = np.flatnonzero(ids == self.between)
+        first = np.concatenate(([0], cuts + 1))
+        count = np.append(cuts, len(ids)) - first
+        if odd:
+            encoded = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in odd.values()]
+            at = list(odd)
+            count[at] = [len(e) for e in encoded]
+            first[at] = len(ids) + np.cumsum(count[at]) - count[at]
+            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(encoded), ids.dtype)])
+        return ids, first, count
+
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; a null text has none."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = split.flatten().dictionary_encode()
+        if not len(words):
+            return [np.empty(0, _kind(self.size))] * len(texts)
+        listed = pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary)
+        together = pc.binary_join(listed, "\n")[0].as_buffer().to_pybytes().decode("utf-8", "replace")
+        ids, first, count = self._cut(together)
+        # The ids of all words of all texts are fetched at once.
+        word = words.indices.to_numpy()
+        own = count[word]
         ends = np.cumsum(own)
-        whole = ids[np.repeat(first[words] - (ends - own), own) + np.arange(own.sum())]
-        stops = np.concatenate(([0], ends))[np.cumsum(size)].tolist()
+        whole = ids[np.repeat(first[word] - (ends - own), own) + np.arange(ends[-1])]
+        stops = np.concatenate(([0], ends))[np.cumsum(split.value_lengths().to_numpy())].tolist()
         return [whole[a:b] for a, b in zip([0, *stops], stops)]
 
 
@@ -299,23 +289,35 @@ def pack_shard(terms: list[np.ndarray], window: int, corpus: Statistics) -> tupl
     return windows.pieces, related, unrelated
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together up to a number of bytes."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.nbytes
+        if size >= GROUP_BYTES:
+            yield pa.Table.from_batches(group)
+            group, size = [], 0
+    if group:
+        yield pa.Table.from_batches(group)
+
+
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, row, ids, n): the token ids of each row of docs without an end id, in as few bytes as the
     vocabulary allows, and their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer)
-        for batch in batches:
-            ids = words.of(raw_texts(batch))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("row"),
-                    pa.array([i.tobytes() for i in ids], pa.binary()),
-                    pa.array([len(i) for i in ids], pa.int64()),
-                ],
-                ["doc_id", "row", "ids", "n"],
-            )
+        for group in _groups(batches):
+            ids = words.of(group.column("text").combine_chunks())
+            yield from pa.table(
+                {
+                    "doc_id": group.column("doc_id"),
+                    "row": group.column("row"),
+                    "ids": pa.array([i.tobytes() for i in ids], pa.binary()),
+                    "n": pa.array([len(i) for i in ids], pa.int64()),
+                }
+            ).to_batches()
 
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     return rows.mapInArrow(run, "doc_id long, row long, ids binary, n long")
@@ -403,9 +405,15 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_
     rows and null ids are packed like others. Columns other than doc_id and text are not read.
     `tokenizer` is a file that every machine has.
     """
-    tokens = materialize(tokenized(docs, tokenizer), "tokens")
+    spark = docs.sparkSession
+    path = scratch(spark, "tokens")
+    found = tokenized(docs, tokenizer)
+    found.write.parquet(path)
+    tokens = spark.read.schema(found.schema).parquet(path)
     corpus = corpus_statistics(tokens, word_ids(tokenizer).size)
     keys = materialize(keyed(tokens, corpus), "keyed-tokens")
+    # The keyed tokens are written: nothing reads the others again.
+    remove(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)).sort_by("row")
