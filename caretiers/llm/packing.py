@@ -33,7 +33,7 @@ from .token_counts import byte_symbols
 WINDOW = 2048
 END_ID = 1
 #: Tokens that a shard aims at; a shard of twice as many is split.
-SHARD_TOKENS = 400_000
+SHARD_TOKENS = 250_000
 #: So many of a document's rarest shared terms deal it.
 KEY_TERMS = 3
 K1, B = 1.2, 0.75
@@ -50,7 +50,7 @@ _PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\\n|[^\\n0-9a-z\u00d
 #: Runs that a generation remembers.
 REMEMBERED = 250_000
 #: Text bytes whose words are numbered together.
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 16_000_000
 
 
 def _kind(vocabulary: int) -> str:
@@ -152,6 +152,13 @@ def word_ids(path: str) -> WordIds:
     return _word_ids[path]
 
 
+def _terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different terms of a document, and how often each occurs."""
+    ordered = np.sort(ids)
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ids) else np.empty(0, np.int64)
+    return ordered[first], np.diff(first, append=len(ids))
+
+
 class Statistics:
     """What BM25 needs to know of the whole corpus: documents, their mean length, and per term the number
     of documents that have it."""
@@ -165,18 +172,20 @@ class Statistics:
         self.rarity[order] = np.arange(len(frequency))
         self.shared = int((frequency > 1).sum())
 
-    def keys(self, terms: np.ndarray) -> list[int]:
+    def keys(self, ids: np.ndarray) -> list[int]:
         """The rarest shared terms of a document, by their rank; `shared` stands for none."""
-        ranks = np.sort(self.rarity[terms])[:KEY_TERMS]
-        found = ranks[ranks < self.shared].tolist()
-        return found + [self.shared] * (KEY_TERMS - len(found))
+        found, ranks = [], self.rarity[ids]
+        for _ in range(KEY_TERMS):
+            found.append(int(ranks.min(initial=self.shared)))
+            ranks = ranks[ranks > found[-1]]
+        return found
 
 
 class Bm25:
     """Inverted index over the documents of a shard, given as arrays of term numbers."""
 
     def __init__(self, docs: Iterable[np.ndarray], corpus: Statistics):
-        found = [np.unique(d, return_counts=True) for d in docs]
+        found = [_terms(d) for d in docs]
         self.terms = [terms for terms, _ in found]
         self.size = len(found)
         size = np.array([len(t) for t in self.terms], np.int64)
@@ -335,7 +344,7 @@ def corpus_statistics(tokens: DataFrame, vocabulary: int) -> Statistics:
         count = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for ids in _arrays(batch.column("ids"), vocabulary):
-                count[np.unique(ids)] += 1
+                count[_terms(ids)[0]] += 1
         terms = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(count[terms])], ["term", "n"])
 
@@ -353,7 +362,7 @@ def keyed(tokens: DataFrame, corpus: Statistics) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([corpus.keys(np.unique(i)) for i in _arrays(batch.column("ids"), vocabulary)], np.int64)
+            keys = np.array([corpus.keys(i) for i in _arrays(batch.column("ids"), vocabulary)], np.int64)
             keys = keys.reshape(-1, KEY_TERMS)
             with np.errstate(over="ignore"):
                 more = mix(keys[:, 1:].astype(np.uint64) * KEY_TERMS + spread).sum(axis=1) >> np.uint64(1)
