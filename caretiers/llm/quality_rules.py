@@ -1,9 +1,15 @@
 """Quality rules: robust multivariate outliers per language and source.
 
-Every document gives a vector of transformed statistics. Per language and source, concentration
-steps towards the minimum covariance determinant estimate centre and scatter from the half of the
-documents that lie closest together, so junk does not shape what it is measured against. A document
-far from the centre by its Mahalanobis distance is rejected.
+Every document gives a vector of transformed statistics. The minimum covariance determinant estimate of
+a group is centre and scatter of the half of its documents whose scatter is least, so junk does not
+shape what it is measured against. Concentration steps lead to it from several starts, and the start
+that ends with the least determinant counts. A document far from the centre of its group by its
+Mahalanobis distance is rejected.
+
+Groups are estimated from large to small: all documents, languages, sources of a language. Each
+estimate is regularised: it is mixed with that of the group above as if `PRIOR` documents had come
+from there. So a source of three documents is judged almost as its language is, one of a thousand by
+its own, and nothing switches in between.
 
 All documents take part in every step. A step is one aggregate for the distance quantile and one for
 sums of products, both with map-side parts: a source that holds a third of all rows is a few numbers
@@ -27,15 +33,18 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Transformed statistics. Shares are taken as square roots, which evens out their variance; a few
 #: neutral words are added to each so that short texts do not jump to the extremes.
 FEATURES = ("f_word_length", "f_symbols", "f_marks", "f_upper", "f_dup_lines", "f_repeats", "f_variety")
-#: Least standard deviation per feature: what differs by less is no sign of poor quality. It also
-#: keeps the scatter invertible where a statistic is constant in a group.
-FLOORS = (0.12, 0.05, 0.06, 0.08, 0.25, 0.2, 0.12)
-#: Rejection radius: four standard deviations or floors. The floors exceed the deviations of most
-#: statistics, so that the share of ordinary documents outside is far below a normal cloud's.
-RADIUS = 4.0
-#: Groups with fewer documents are pooled: first all such sources of a language, then all languages.
-LEAST_GROUP = 100
-STEPS = 6
+#: Least standard deviation per feature: what differs by less is no sign of poor quality. A greater one
+#: is taken as it is. It also keeps the scatter invertible where a statistic is constant in a group.
+FLOORS = (0.10, 0.03, 0.05, 0.06, 0.12, 0.12, 0.05)
+#: Rejection radius in standard deviations or floors. A normal cloud of seven features has one document
+#: in a thousand beyond it.
+RADIUS = 5.0
+#: Weight of the estimate of the group above, in documents.
+PRIOR = 50
+#: Concentration steps from each start.
+STEPS = 3
+#: Starts: medians and quartile ranges; mean and covariance; medians and the scatter of directions.
+QUARTILES, CLASSICAL, DIRECTIONS = 0, 1, 2
 
 SYMBOLS = b"#*$%&|<>"
 MARKS = b"!?;:=~^_+@\\/{}[]()\"'"
@@ -120,91 +129,150 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
 
 
+D = len(FEATURES)
+#: Median of the chi-square distribution with D degrees of freedom (Wilson and Hilferty).
+MEDIAN_SQUARE = D * (1 - 2 / (9 * D)) ** 3
+#: By how much the scatter of the inner half of a normal cloud of seven features is too small.
+HALF_FACTOR = 1.695
+
+
 def _distance() -> Column:
     """Squared Mahalanobis distance from columns m (centre) and p (precision, row by row)."""
-    d = len(FEATURES)
     gap = [F.col(name) - F.col("m")[k] for k, name in enumerate(FEATURES)]
     total = F.lit(0.0)
-    for i in range(d):
+    for i in range(D):
         row = F.lit(0.0)
-        for j in range(d):
-            row = row + F.col("p")[i * d + j] * gap[j]
+        for j in range(D):
+            row = row + F.col("p")[i * D + j] * gap[j]
         total = total + gap[i] * row
     return total
 
 
+def floored(cov: np.ndarray, floors: np.ndarray) -> np.ndarray:
+    """The covariance with each deviation raised to its floor and all correlations as they are."""
+    deviation = np.sqrt(np.maximum(np.diag(cov), 0))
+    correlation = cov / np.outer(*[np.where(deviation > 0, deviation, 1)] * 2)
+    np.fill_diagonal(correlation, 1)
+    raised = np.maximum(deviation, floors)
+    return correlation * np.outer(raised, raised)
+
+
+def regularised(
+    n: float, mean: np.ndarray, cov: np.ndarray, above: tuple[np.ndarray, np.ndarray] | None, floors: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of n documents mixed with those of the group above, whose weight is PRIOR; the
+    first group of all is mixed with no correlation at all, so that its covariance has an inverse."""
+    if above is None:
+        above = (mean, np.diag(np.maximum(np.diag(cov), np.square(floors))))
+    share = n / (n + PRIOR)
+    mixed = share * floored(cov, floors) + (1 - share) * above[1]
+    return share * mean + (1 - share) * above[0], floored(mixed, floors)
+
+
 def _solve(moments: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    d = len(FEATURES)
-    floor = np.diag(np.square(FLOORS))
+    """Centre, scatter, precision and log determinant from sums of features and of their products."""
+    floors = np.array(FLOORS)
     for frame in moments:
         out = []
-        for g1, g2, n, s, q in zip(frame.g1, frame.g2, frame.n, frame.s, frame.q, strict=True):
-            mean = np.asarray(s, float) / n
-            cov = np.zeros((d, d))
-            cov[np.triu_indices(d)] = np.asarray(q, float) / n
-            cov = cov + np.triu(cov, 1).T - np.outer(mean, mean) + floor
-            out.append((g1, g2, mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
-        yield pd.DataFrame(out, columns=["g1", "g2", "m", "p"])
+        for r in frame.itertuples(index=False):
+            mean = np.asarray(r.s, float) / r.n
+            cov = np.zeros((D, D))
+            cov[np.triu_indices(D)] = np.asarray(r.q, float) / r.n
+            cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
+            if r.centre is not None:
+                # Directions are summed about their centre and have no scale of their own.
+                mean = np.asarray(r.centre, float)
+            above = None if r.am is None else (np.asarray(r.am, float), np.asarray(r.ac, float).reshape(D, D))
+            mean, cov = regularised(r.n, mean, cov * r.factor, above, floors)
+            out.append((r.g, r.start, mean.tolist(), cov.ravel().tolist(), np.linalg.inv(cov).ravel().tolist(), np.linalg.slogdet(cov)[1]))
+        yield pd.DataFrame(out, columns=["g", "start", "m", "c", "p", "det"])
+
+
+def _sums(rows: DataFrame, *columns: Column) -> DataFrame:
+    """n, s, q per group and start: the number of rows, sums of D columns and of their products."""
+    products = [F.sum(columns[i] * columns[j]) for i in range(D) for j in range(i, D)]
+    return rows.groupBy("g", "start").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in columns]).alias("s"), F.array(*products).alias("q")
+    )
 
 
-def _estimate(rows: DataFrame) -> DataFrame:
-    """Centre and precision per group from the rows given."""
-    d = len(FEATURES)
-    sums = F.array(*[F.sum(name) for name in FEATURES])
-    products = F.array(*[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])) for i in range(d) for j in range(i, d)])
-    moments = rows.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("n"), sums.alias("s"), products.alias("q"))
-    return moments.mapInPandas(_solve, "g1 string, g2 string, m array<double>, p array<double>")
+def _model(sums: DataFrame, groups: DataFrame, name: str, factor: float = 1.0) -> DataFrame:
+    """(g, start, m, c, p, det) from sums, and the estimate above in `groups` (g, am, ac)."""
+    if "centre" not in sums.columns:
+        sums = sums.withColumn("centre", F.lit(None).cast("array<double>"))
+    ready = sums.join(groups, "g").withColumn("factor", F.lit(factor))
+    solved = ready.mapInPandas(
+        _solve, "g string, start int, m array<double>, c array<double>, p array<double>, det double"
+    )
+    return materialize(solved, name)
 
 
-def fit(stats: DataFrame, steps: int = STEPS, least_group: int = LEAST_GROUP) -> DataFrame:
-    """(l, s, m, p, scale): the estimate that holds for each language l and source s ('' for null).
+def least_determinant(rows: DataFrame, groups: DataFrame, steps: int = STEPS) -> DataFrame:
+    """(g, m, c): centre and scatter of each group, rows being (g, features), groups (g, am, ac).
+
+    am and ac are the estimate of the group above, null where there is none.
+    """
+    features = [F.col(f) for f in FEATURES]
+    whole = F.lit(QUARTILES).alias("start")
+    spread = rows.groupBy("g").agg(*[F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f"q_{f}") for f in FEATURES])
+    centre = F.array(*[F.col(f"q_{f}")[1] for f in FEATURES])
+    sigma = [F.greatest((F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349, F.lit(FLOORS[k])) for k, f in enumerate(FEATURES)]
+    spread = materialize(spread.select("g", centre.alias("centre"), F.array(*sigma).alias("sigma")), "spread")
+    diagonal = F.array(*[1 / F.pow(F.col("sigma")[i], 2) if i == j else F.lit(0.0) for i in range(D) for j in range(D)])
+    quartiles = spread.select("g", whole, F.col("centre").alias("m"), diagonal.alias("p"))
+
+    classical = _model(_sums(rows.withColumn("start", F.lit(CLASSICAL)), *features), groups, "classical")
+
+    gap = [(features[k] - F.col("centre")[k]) / F.col("sigma")[k] for k in range(D)]
+    length = F.sqrt(sum((g * g for g in gap), F.lit(0.0)))
+    direction = [F.when(length > 0, g / length * F.col("sigma")[k]).otherwise(0.0) for k, g in enumerate(gap)]
+    towards = rows.join(spread, "g").select("g", F.lit(DIRECTIONS).alias("start"), *[d.alias(f) for d, f in zip(direction, FEATURES)])
+    directions = _model(_sums(towards, *features).join(spread.select("g", "centre"), "g"), groups, "directions", D)
+
+    model = quartiles.unionByName(classical.select("g", "start", "m", "p")).unionByName(directions.select("g", "start", "m", "p"))
+    for _ in range(steps):
+        far = rows.join(model, "g").withColumn("d2", _distance()).drop("m", "p")
+        half = far.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 2000).alias("h"))
+        inner = far.join(half, ["g", "start"]).filter("d2 <= h")
+        solved = _model(_sums(inner, *features), groups, "model", HALF_FACTOR)
+        model = solved.select("g", "start", "m", "p")
+    best = solved.groupBy("g").agg(F.min_by(F.struct("m", "c", "p"), F.struct("det", "start")).alias("b")).select("g", "b.*")
+    # What is left of the cloud's scale: the median distance says by how much the scatter is too small.
+    far = rows.join(best, "g").withColumn("d2", _distance())
+    scale = far.groupBy("g").agg(F.greatest(F.lit(1.0), F.percentile_approx("d2", 0.5, 2000) / MEDIAN_SQUARE).alias("scale"))
+    return materialize(best.join(scale, "g").select("g", "m", F.transform("c", lambda x: x * F.col("scale")).alias("c")), "estimate")
+
+
+def _inverse(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in found:
+        frame["p"] = [np.linalg.inv(np.asarray(c, float).reshape(D, D)).ravel().tolist() for c in frame.c]
+        yield frame[["l", "s", "m", "p"]]
+
+
+def fit(stats: DataFrame, steps: int = STEPS) -> DataFrame:
+    """(l, s, m, p): centre and precision for each language l and source s ('' for null).
 
     stats has lang, source, the base counts and the features; rows that fail the base rules take no
-    part. Groups below least_group are pooled; a pool that is still smaller has no estimate.
+    part.
     """
     named = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).select(
         F.coalesce("lang", F.lit("")).alias("l"), F.coalesce("source", F.lit("")).alias("s"), *FEATURES
     )
-    sizes = named.groupBy("l", "s").count()
-    small = F.col("count") < least_group
-    pool = sizes.filter(small).groupBy("l").agg(F.sum("count").alias("pooled"))
-    groups = materialize(
-        sizes.join(pool, "l", "left").select(
-            "l",
-            "s",
-            F.when(small & (F.coalesce("pooled", F.lit(0)) < least_group), "*").otherwise(F.concat(F.lit("="), "l")).alias("g1"),
-            F.when(small, "*").otherwise(F.concat(F.lit("="), "s")).alias("g2"),
-        ),
-        "groups",
-    )
-    rows = materialize(named.join(groups, ["l", "s"]).drop("l", "s"), "vectors")
-    # Start: median and quartile range of each statistic on its own.
-    spread = rows.groupBy("g1", "g2").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(name, [0.25, 0.5, 0.75], 2000).alias(f"q_{name}") for name in FEATURES],
-    )
-    d = len(FEATURES)
-    sigma = [F.pow((F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349, 2) + FLOORS[k] ** 2 for k, f in enumerate(FEATURES)]
-    model = spread.filter(F.col("n") >= least_group).select(
-        "g1",
-        "g2",
-        F.array(*[F.col(f"q_{f}")[1] for f in FEATURES]).alias("m"),
-        F.array(*[1 / sigma[i] if i == j else F.lit(0.0) for i in range(d) for j in range(d)]).alias("p"),
-    )
-    model = materialize(model, "model")
-    for _ in range(steps):
-        far = rows.join(model, ["g1", "g2"]).withColumn("d2", _distance())
-        half = far.groupBy("g1", "g2").agg(F.percentile_approx("d2", 0.5, 2000).alias("h"))
-        model = materialize(
-            _estimate(far.drop("m", "p").join(materialize(half, "half"), ["g1", "g2"]).filter("d2 <= h")), "model"
-        )
-    # Half of a normal cloud has too small a scatter: the median distance says by how much.
-    expected = d * (1 - 2 / (9 * d)) ** 3
-    far = rows.join(model, ["g1", "g2"]).withColumn("d2", _distance())
-    scale = far.groupBy("g1", "g2").agg(
-        F.greatest(F.lit(1.0), F.percentile_approx("d2", 0.5, 2000) / expected).alias("scale")
-    )
-    return materialize(groups.join(model, ["g1", "g2"]).join(scale, ["g1", "g2"]).select("l", "s", "m", "p", "scale"), "fitted")
+    # The length in front keeps any two pairs of language and source apart.
+    vectors = materialize(named.withColumn("ls", F.concat_ws(":", F.length("l").cast("string"), "l", "s")), "vectors")
+    pairs = materialize(vectors.select("l", "s", "ls").distinct(), "groups")
+    none = F.lit(None).cast("array<double>")
+    above = None
+    for level, parent in (("''", None), ("l", "''"), ("ls", "l")):
+        groups = pairs.select(F.expr(level).alias("g"), F.expr(parent or "''").alias("g0")).distinct()
+        if above is None:
+            groups = groups.select("g", none.alias("am"), none.alias("ac"))
+        else:
+            groups = groups.join(above, "g0").select("g", "am", "ac")
+        estimate = least_determinant(vectors.select(F.expr(level).alias("g"), *FEATURES), materialize(groups, "above"), steps)
+        above = estimate.select(F.col("g").alias("g0"), F.col("m").alias("am"), F.col("c").alias("ac"))
+    last = pairs.join(estimate.withColumnRenamed("g", "ls"), "ls").select("l", "s", "m", "c")
+    return materialize(last.mapInPandas(_inverse, "l string, s string, m array<double>, p array<double>"), "fitted")
 
 
 #: More pairs of language and source than this are joined by shuffle instead of broadcast.
@@ -212,7 +280,7 @@ BROADCAST_GROUPS = 20_000
 
 
 def with_verdict(stats: DataFrame, fitted: DataFrame, radius: float = RADIUS) -> DataFrame:
-    """Adds distance (null without estimate), base_failed and kept to rows with statistics."""
+    """Adds distance (null in a group of which all rows fail the base rules), base_failed and kept."""
     l, s = F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
     model = fitted.withColumnsRenamed({"l": "__l", "s": "__s"})
     if fitted.count() <= BROADCAST_GROUPS:
@@ -220,10 +288,10 @@ def with_verdict(stats: DataFrame, fitted: DataFrame, radius: float = RADIUS) ->
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return (
         stats.join(model, (l == F.col("__l")) & (s == F.col("__s")), "left")
-        .withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), _distance() / F.col("scale"))))
+        .withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), _distance())))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & F.coalesce(F.col("distance") <= radius, F.lit(True)))
-        .drop("__l", "__s", "m", "p", "scale")
+        .drop("__l", "__s", "m", "p")
     )
 
 
@@ -232,7 +300,7 @@ def judge(docs: DataFrame, radius: float = RADIUS) -> DataFrame:
 
     Needs doc_id, text, lang and source; other columns are not read. Null text counts as empty and
     fails the base rules; null language or source is a group of its own; repeated rows are judged
-    alike; a group without an estimate keeps what the base rules keep. Empty tables give none.
+    alike. Empty tables give none.
     """
     stats = materialize(with_statistics(docs, ["doc_id", "lang", "source"]), "stats")
     return with_verdict(stats, fit(stats), radius)

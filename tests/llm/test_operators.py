@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -282,6 +283,71 @@ def test_quality_counts_and_verdict(spark, odd_rows):
     assert left.columns == docs.columns and left.count() == sum(r["kept"] for r in got)
 
 
+def test_repeated_lines_within_the_base_rules_are_rejected(spark):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(3000)]
+
+    def lines(n, size=8):
+        return [" ".join(rng.choices(vocabulary, k=size)) for _ in range(n)]
+
+    good = [(k, "\n".join(lines(rng.randint(10, 20))), "en", f"s{k % 40}") for k in range(240)]
+    good += [(1000 + k, "\n".join([*(found := lines(16)), found[3]]), "en", "s1") for k in range(20)]
+    # Half of the lines stand earlier, but they are short: few words are in repeated windows.
+    junk = [(5000 + k, "\n".join([*lines(16, 12), *["ab cd"] * 17]), "en", f"s{k}") for k in range(10)]
+    got = {r["doc_id"]: r for r in quality_rules.judge(documents(spark, good + junk)).collect()}
+    assert not any(got[d]["base_failed"] for d in got)
+    assert not any(got[d]["kept"] for d, *_ in junk)
+    assert sum(got[d]["kept"] for d, *_ in good) >= 255
+
+
+def test_estimates_are_those_of_the_best_half(spark):
+    """Every half of small groups is tried: the steps end at, or close to, the least determinant."""
+    rng = np.random.default_rng(5)
+    floors, d = np.array(quality_rules.FLOORS), quality_rules.D
+    rows, groups, clouds = [], [], {}
+    for g in range(6):
+        cloud = rng.normal(0, 1, (10, d)) * floors * rng.uniform(1, 6, d)
+        cloud[7:] += 30 * floors
+        clouds[f"g{g}"] = cloud
+        rows += [(f"g{g}", *map(float, v)) for v in cloud]
+        above = (np.zeros(d), np.diag(np.square(2 * floors)))
+        groups.append((f"g{g}", above[0].tolist(), above[1].ravel().tolist()))
+    names = ", ".join(f"{f} double" for f in quality_rules.FEATURES)
+    frame = spark.createDataFrame(rows, f"g string, {names}")
+    over = spark.createDataFrame(groups, "g string, am array<double>, ac array<double>")
+    close = 0
+    for r in quality_rules.least_determinant(frame, over).collect():
+        cloud = clouds[r["g"]]
+
+        def estimate(part):
+            cov = np.cov(part.T, bias=True) * quality_rules.HALF_FACTOR
+            return quality_rules.regularised(len(part), part.mean(0), cov, above, floors)
+
+        best = min((estimate(cloud[list(half)]) for half in itertools.combinations(range(10), 5)), key=lambda e: np.linalg.slogdet(e[1])[1])
+        scatter = np.array(r["c"]).reshape(d, d)
+        gaps = [float((v - r["m"]) @ np.linalg.inv(scatter) @ (v - r["m"])) for v in cloud]
+        # Up to the scale that is estimated afterwards.
+        scale = (scatter / best[1])[0, 0]
+        close += np.allclose(scatter / scale, best[1], rtol=1e-6) and np.allclose(r["m"], best[0])
+        assert np.linalg.slogdet(scatter / max(scale, 1))[1] <= np.linalg.slogdet(best[1])[1] + 1.0 or min(gaps[7:]) > max(gaps[:7])
+    assert close >= 3
+
+
+def test_small_sources_are_judged_as_their_language_is():
+    floors = np.array(quality_rules.FLOORS)
+    above = (np.zeros(7), np.diag(np.square(3 * floors)))
+    one = quality_rules.regularised(1, np.ones(7), np.zeros((7, 7)), above, floors)
+    many = quality_rules.regularised(10**6, np.ones(7), np.diag(np.square(2 * floors)), above, floors)
+    assert np.allclose(one[0], 1 / 51) and np.allclose(np.diag(one[1]), (np.square(floors) + 50 * np.square(3 * floors)) / 51)
+    assert np.allclose(many[0], 1, atol=1e-3) and np.allclose(np.diag(many[1]), np.square(2 * floors), rtol=1e-3)
+
+
+def test_floors_raise_deviations_and_leave_correlations():
+    cov = np.array([[4.0, 1.0], [1.0, 1.0]])
+    assert np.allclose(quality_rules.floored(cov, np.array([1.0, 3.0])), [[4.0, 3.0], [3.0, 9.0]])
+    assert np.allclose(quality_rules.floored(np.zeros((2, 2)), np.array([1.0, 2.0])), [[1.0, 0.0], [0.0, 4.0]])
+
+
 def test_decontamination_recall_and_precision(spark):
     rng = random.Random(1)
     vocabulary = ["".join(rng.choices("aeioulmnrst", k=rng.randint(2, 8))) for _ in range(900)]
