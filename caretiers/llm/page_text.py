@@ -214,8 +214,6 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-#: Depth of tags that can belong to a template; deeper ones are content.
-DEPTH = 12
 #: Template tags stand on so many of 100 pages of the host.
 SUPPORT = 60
 
@@ -239,7 +237,7 @@ def tokens(pages: DataFrame) -> DataFrame:
                 seen: dict[tuple[str, str], list] = {("", PLAIN): [1, 0.0, 0, 0]}
                 for k in range(1, len(page.tag)):
                     path = page.path[k]
-                    if page.tag[k] in INLINE or path.count("/") > DEPTH:
+                    if page.tag[k] in INLINE:
                         continue
                     entry = seen.setdefault((path, page.role[k]), [0, k / len(page.tag), 0, 0])
                     entry[0] += 1
@@ -277,8 +275,8 @@ def tokens(pages: DataFrame) -> DataFrame:
     return half.groupBy("host", "path", "role").agg(*[F.sum(c).alias(c) for c in names], F.sum("low").alias("low"), F.sum("high").alias("high"))
 
 
-def _template(rows: list[dict]) -> dict:
-    """The template of a host: paths of its valid classes, the paths of the article slot and of frame slots."""
+def _template(rows: list[dict]) -> str:
+    """The path of the article slot in the template that a host's valid classes make up."""
     total = max((r["total"] for r in rows if r["path"] == ""), default=0)
     if not total:
         total = max((r["pages"] for r in rows), default=1)
@@ -287,15 +285,26 @@ def _template(rows: list[dict]) -> dict:
     for r in often:
         classes.setdefault((r["low"], r["high"], r["times"]), []).append(r)
     valid: set[str] = {""}
-    # Classes by support and place: a class holds if the tags around each of its tags are template too.
-    for _, members in sorted(classes.items(), key=lambda c: (-c[1][0]["pages"], min(m["place"] for m in c[1]))):
-        for r in sorted(members, key=lambda m: m["path"].count("/")):
-            outer = r["path"].rpartition("/")[0]
-            if outer in valid:
-                valid.add(r["path"])
+    # Classes nest: a tag holds if the tag around it is template too, in whatever class that is, so
+    # classes are gone through until none of them takes in another tag.
+    waiting = sorted(classes.values(), key=lambda c: (-c[0]["pages"], min(m["place"] for m in c)))
+    grown = True
+    while grown:
+        grown = False
+        for members in waiting:
+            for r in sorted(members, key=lambda m: m["path"].count("/")):
+                if r["path"] not in valid and r["path"].rpartition("/")[0] in valid:
+                    valid.add(r["path"])
+                    grown = True
     inside = [r for r in often if r["path"] in valid]
-    framed = {r["path"] for r in inside if r["role"] == FRAMED}
-    outside_frame = [r for r in inside if not any(r["path"] == f or r["path"].startswith(f + "/") for f in framed)]
+    # A frame slot is a path and a role: other tags on its path are none. What is below is, unless
+    # tags with the role and without it share the path.
+    plain = {r["path"] for r in inside if r["role"] != FRAMED}
+    framed = {r["path"] for r in inside if r["role"] == FRAMED} - plain
+    outside_frame = [
+        r for r in inside
+        if r["role"] != FRAMED and not any(r["path"] == f or r["path"].startswith(f + "/") for f in framed)
+    ]
     article = ""
     for wanted in (ARTICLE, MAIN):
         fit = [r for r in outside_frame if r["role"] == wanted and r["chars"] > 0]
@@ -312,43 +321,39 @@ def _template(rows: list[dict]) -> dict:
             if not below or max(below)[1].rpartition("/")[2].split(".")[0] in ("p", "h1", "ul", "li"):
                 break
             held, article = max(below)
-    return {"article": article, "framed": sorted(framed)}
+    return article
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, article, framed) of each host. A host has a bounded number of template tags, not of pages."""
+    """(host, article) of each host. A host has a bounded number of template tags, not of pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in b.to_pylist()]
         if rows:
-            found = _template(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rows[0]["host"]]), pa.array([found["article"]]), pa.array([found["framed"]], pa.list_(pa.string()))],
-                ["host", "article", "framed"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([rows[0]["host"]]), pa.array([_template(rows)])], ["host", "article"])
 
     counted = tokens(pages)
     total = counted.filter("path = ''").select("host", F.col("total").alias("all"))
     # Only tags that stand on most pages can be template; the others never reach the grouping.
     common = counted.join(materialize(total, "hosts"), "host").filter(100 * F.col("pages") >= SUPPORT * F.col("all")).drop("all")
-    return materialize(common.groupBy("host").applyInArrow(run, "host string, article string, framed array<string>"), "templates")
+    return materialize(common.groupBy("host").applyInArrow(run, "host string, article string"), "templates")
 
 
-def article_text(source: str | None, article: str, framed: list[str]) -> str:
-    """Blocks of a page inside its host's article slot and outside the frame."""
+def article_text(source: str | None, article: str) -> str:
+    """Blocks of a page inside its host's article slot and outside elements that belong to the frame."""
     page = Page(source or "")
-    frames = frozenset(framed)
     state = [0] * len(page.tag)  # 1: in the article slot, 2: in a frame slot
-    slots = {k for k in range(1, len(page.tag)) if page.path[k] == article}
-    # A page that does not follow the template says itself where its article is.
-    if article and not slots:
-        slots = {k for k in range(1, len(page.tag)) if page.role[k] == ARTICLE}
-        slots = slots or {k for k in range(1, len(page.tag)) if page.role[k] == MAIN}
+    slots = {k for k in range(1, len(page.tag)) if page.path[k] == article and page.role[k] != FRAMED}
+    # A page that does not follow the template, or whose template has no slot within the page, says
+    # itself where its article is.
+    if all(page.tag[k] in ("html", "body") for k in slots):
+        own = {k for k in range(1, len(page.tag)) if page.role[k] == ARTICLE}
+        slots = own or {k for k in range(1, len(page.tag)) if page.role[k] == MAIN} or slots
     everywhere = not slots
     for k in range(1, len(page.tag)):
         up = state[page.parent[k]]
         inside = up in (1, 3) or k in slots
-        frame = page.role[k] == FRAMED or page.path[k] in frames
+        frame = page.role[k] == FRAMED
         # A header inside the article is the article's own, that of the page is not.
         if page.tag[k] == "header" and inside and any(page.role[o] in (ARTICLE, MAIN) for o in page.owners(page.parent[k])):
             frame = False
@@ -380,8 +385,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("html", "article", "framed"))
-            texts = [article_text(h, a or "", f or []) for h, a, f in zip(*columns, strict=True)]
+            columns = (batch.column(c).to_pylist() for c in ("html", "article"))
+            texts = [article_text(h, a or "") for h, a in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
@@ -390,6 +395,6 @@ def extract(pages: DataFrame) -> DataFrame:
     return (
         pages.select("page_id", "url", "html")
         .join(found, host == F.col("h"), "left")
-        .select("page_id", "url", "html", "article", "framed")
+        .select("page_id", "url", "html", "article")
         .mapInArrow(run, "page_id long, url string, text string, n_chars long")
     )

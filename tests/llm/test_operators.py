@@ -425,6 +425,28 @@ PAGE = """<!DOCTYPE html><html><head><title>t &amp; t</title><style>p{{}}</style
 <section class="comments"><p>Nice {k}!</p></section></div><footer>&copy; foot {k}</footer>"""
 
 
+CONTAINERS = '<div class="container">top strip text</div><div class="container">{}</div><div class="container">bottom strip</div>'
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>Story {k}</p><p>second</p><p hidden>x</p></article>", "Story {k} second"),
+        ('<article><div>story {k}</div><div class="ad-1">buy</div><div>more</div></article>', "story {k} more"),
+        ("<div>head</div>" + "<div>" * 30 + "<article><p>deep {k}</p></article>" + "</div>" * 30 + "<div>foot</div>", "deep {k}"),
+        (CONTAINERS.format("<article><p>Real body {k}</p></article>"), "Real body {k}"),
+        ("<div>one</div><main><p>Text {k}</p><nav>menu</nav></main>", "Text {k}"),
+    ],
+)
+def test_slots_are_paths_with_a_role(spark, page, text):
+    """Siblings of frame elements stay, at any depth and beside others on the same path."""
+    rows = [(k, f"http://h.org/{k}", f"<html><body>{page}</body></html>".replace("{k}", str(k))) for k in range(6)]
+    # Another page of the host is without the frame element, one without any template.
+    rows.append((6, "http://h.org/6", "<html><body><article><p>Story 6</p><p>second</p></article></body></html>"))
+    got = {r["page_id"]: r["text"] for r in page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{k: text.replace("{k}", str(k)) for k in range(6)}, 6: "Story 6 second"}
+
+
 @pytest.mark.parametrize("main", ["article", "main", 'div class="post-content"'])
 def test_page_text(spark, main):
     rows = [(k, f"http://h{k % 2}.example.com/{k}", PAGE.format(k=k, main=main, end=main.split()[0])) for k in range(8)]
