@@ -233,7 +233,8 @@ def least_determinant(rows: DataFrame, groups: DataFrame, steps: int = STEPS) ->
     for _ in range(steps):
         far = rows.join(model, "g").withColumn("d2", _distance()).drop("m", "p")
         half = far.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 2000).alias("h"))
-        inner = far.join(half, ["g", "start"]).filter("d2 <= h")
+        # Written, so that its size is known: one row per group and start.
+        inner = far.join(materialize(half, "half"), ["g", "start"]).filter("d2 <= h")
         solved = _model(_sums(inner, *features), groups, "model", HALF_FACTOR)
         model = solved.select("g", "start", "m", "p")
     best = solved.groupBy("g").agg(F.min_by(F.struct("m", "c", "p"), F.struct("det", "start")).alias("b")).select("g", "b.*")
@@ -259,17 +260,18 @@ def fit(stats: DataFrame, steps: int = STEPS) -> DataFrame:
         F.coalesce("lang", F.lit("")).alias("l"), F.coalesce("source", F.lit("")).alias("s"), *FEATURES
     )
     # The length in front keeps any two pairs of language and source apart.
-    vectors = materialize(named.withColumn("ls", F.concat_ws(":", F.length("l").cast("string"), "l", "s")), "vectors")
-    pairs = materialize(vectors.select("l", "s", "ls").distinct(), "groups")
+    keys = {"top": F.lit(""), "ls": F.concat_ws(":", F.length("l").cast("string"), "l", "s")}
+    vectors = materialize(named.withColumns(keys), "vectors")
+    pairs = materialize(vectors.select("l", "s", "top", "ls").distinct(), "groups")
     none = F.lit(None).cast("array<double>")
     above = None
-    for level, parent in (("''", None), ("l", "''"), ("ls", "l")):
-        groups = pairs.select(F.expr(level).alias("g"), F.expr(parent or "''").alias("g0")).distinct()
+    for level, parent in (("top", "top"), ("l", "top"), ("ls", "l")):
+        groups = pairs.select(F.col(level).alias("g"), F.col(parent).alias("g0")).distinct()
         if above is None:
             groups = groups.select("g", none.alias("am"), none.alias("ac"))
         else:
             groups = groups.join(above, "g0").select("g", "am", "ac")
-        estimate = least_determinant(vectors.select(F.expr(level).alias("g"), *FEATURES), materialize(groups, "above"), steps)
+        estimate = least_determinant(vectors.select(F.col(level).alias("g"), *FEATURES), materialize(groups, "above"), steps)
         above = estimate.select(F.col("g").alias("g0"), F.col("m").alias("am"), F.col("c").alias("ac"))
     last = pairs.join(estimate.withColumnRenamed("g", "ls"), "ls").select("l", "s", "m", "c")
     return materialize(last.mapInPandas(_inverse, "l string, s string, m array<double>, p array<double>"), "fitted")
