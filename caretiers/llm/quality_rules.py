@@ -6,8 +6,7 @@ shape what it is measured against. Concentration steps lead to it from several s
 that ends with the least determinant counts. A document far from the centre of its group by its
 Mahalanobis distance is rejected.
 
-Groups are estimated from large to small: all documents, languages, sources of a language. Each
-estimate is regularised: it is mixed with that of the group above as if `PRIOR` documents had come
+Groups are all documents, languages, and sources of a language. Each estimate is regularised: it is mixed with that of the group above as if `PRIOR` documents had come
 from there. So a source of three documents is judged almost as its language is, one of a thousand by
 its own, and nothing switches in between.
 
@@ -20,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -196,52 +196,65 @@ def _sums(rows: DataFrame, *columns: Column) -> DataFrame:
     )
 
 
-def _model(sums: DataFrame, groups: DataFrame, name: str, factor: float = 1.0) -> DataFrame:
-    """(g, start, m, c, p, det) from sums, and the estimate above in `groups` (g, am, ac)."""
-    if "centre" not in sums.columns:
-        sums = sums.withColumn("centre", F.lit(None).cast("array<double>"))
-    ready = sums.join(groups, "g").withColumn("factor", F.lit(factor))
-    solved = ready.mapInPandas(
+def _model(sums: DataFrame, above: DataFrame, name: str) -> DataFrame:
+    """(g, start, m, c, p, det) from sums (with centre and factor), and the estimates above (g, start, am, ac)."""
+    solved = sums.join(above, ["g", "start"]).mapInPandas(
         _solve, "g string, start int, m array<double>, c array<double>, p array<double>, det double"
     )
     return materialize(solved, name)
 
 
 def least_determinant(rows: DataFrame, groups: DataFrame, steps: int = STEPS) -> DataFrame:
-    """(g, m, c): centre and scatter of each group, rows being (g, features), groups (g, am, ac).
+    """(g, m, c): centre and scatter of each group. rows are (g, features), a row for each group a document
+    is in; groups are (g, g0), where g0 is the group above, null where there is none.
 
-    am and ac are the estimate of the group above, null where there is none.
+    Groups of all sizes are estimated side by side: a step mixes a group's sums with the estimate that
+    the step before has given the group above.
     """
     features = [F.col(f) for f in FEATURES]
-    whole = F.lit(QUARTILES).alias("start")
     spread = rows.groupBy("g").agg(*[F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f"q_{f}") for f in FEATURES])
     centre = F.array(*[F.col(f"q_{f}")[1] for f in FEATURES])
     sigma = [F.greatest((F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349, F.lit(FLOORS[k])) for k, f in enumerate(FEATURES)]
     spread = materialize(spread.select("g", centre.alias("centre"), F.array(*sigma).alias("sigma")), "spread")
-    diagonal = F.array(*[1 / F.pow(F.col("sigma")[i], 2) if i == j else F.lit(0.0) for i in range(D) for j in range(D)])
-    quartiles = spread.select("g", whole, F.col("centre").alias("m"), diagonal.alias("p"))
 
-    classical = _model(_sums(rows.withColumn("start", F.lit(CLASSICAL)), *features), groups, "classical")
+    def diagonal(power: int) -> Column:
+        return F.array(*[F.pow(F.col("sigma")[i], power) if i == j else F.lit(0.0) for i in range(D) for j in range(D)])
 
+    starts = F.explode(F.array(*[F.lit(k) for k in (QUARTILES, CLASSICAL, DIRECTIONS)])).alias("start")
+    wanted = materialize(groups.select("g", "g0", starts), "wanted")
+
+    def above(model: DataFrame) -> DataFrame:
+        """The model of the group above, by group and start; null where there is none."""
+        parent = model.select(F.col("g").alias("g0"), "start", F.col("m").alias("am"), F.col("c").alias("ac"))
+        return wanted.join(parent, ["g0", "start"], "left").select("g", "start", "am", "ac")
+
+    quartiles = spread.select("g", F.lit(QUARTILES).alias("start"), F.col("centre").alias("m"), diagonal(2).alias("c"), diagonal(-2).alias("p"))
     gap = [(features[k] - F.col("centre")[k]) / F.col("sigma")[k] for k in range(D)]
     length = F.sqrt(sum((g * g for g in gap), F.lit(0.0)))
     direction = [F.when(length > 0, g / length * F.col("sigma")[k]).otherwise(0.0) for k, g in enumerate(gap)]
     towards = rows.join(spread, "g").select("g", F.lit(DIRECTIONS).alias("start"), *[d.alias(f) for d, f in zip(direction, FEATURES)])
-    directions = _model(_sums(towards, *features).join(spread.select("g", "centre"), "g"), groups, "directions", D)
-
-    model = quartiles.unionByName(classical.select("g", "start", "m", "p")).unionByName(directions.select("g", "start", "m", "p"))
+    both = _sums(rows.withColumn("start", F.lit(CLASSICAL)).unionByName(towards), *features)
+    own = spread.select("g", F.lit(DIRECTIONS).alias("start"), "centre")
+    factor = F.when(F.col("start") == DIRECTIONS, float(D)).otherwise(1.0).alias("factor")
+    both = both.join(own, ["g", "start"], "left").select("*", factor)
+    # The groups above are as their quartiles say, in every start.
+    plain = quartiles.drop("start", "p").withColumn("start", F.explode(F.array(F.lit(CLASSICAL), F.lit(DIRECTIONS))))
+    model = quartiles.unionByName(_model(both, above(plain), "starts").drop("det"))
+    none = F.lit(None).cast("array<double>").alias("centre")
     for _ in range(steps):
-        far = rows.join(model, "g").withColumn("d2", _distance()).drop("m", "p")
+        far = rows.join(model.select("g", "start", "m", "p"), "g").withColumn("d2", _distance()).drop("m", "p")
         half = far.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 2000).alias("h"))
         # Written, so that its size is known: one row per group and start.
         inner = far.join(materialize(half, "half"), ["g", "start"]).filter("d2 <= h")
-        solved = _model(_sums(inner, *features), groups, "model", HALF_FACTOR)
-        model = solved.select("g", "start", "m", "p")
+        sums = _sums(inner, *features).select("*", none, F.lit(HALF_FACTOR).alias("factor"))
+        solved = _model(sums, above(model), "model")
+        model = solved.drop("det")
     best = solved.groupBy("g").agg(F.min_by(F.struct("m", "c", "p"), F.struct("det", "start")).alias("b")).select("g", "b.*")
+    best = materialize(best, "best")
     # What is left of the cloud's scale: the median distance says by how much the scatter is too small.
-    far = rows.join(best, "g").withColumn("d2", _distance())
+    far = rows.join(best.select("g", "m", "p"), "g").withColumn("d2", _distance())
     scale = far.groupBy("g").agg(F.greatest(F.lit(1.0), F.percentile_approx("d2", 0.5, 2000) / MEDIAN_SQUARE).alias("scale"))
-    return materialize(best.join(scale, "g").select("g", "m", F.transform("c", lambda x: x * F.col("scale")).alias("c")), "estimate")
+    return best.join(scale, "g").select("g", "m", F.transform("c", lambda x: x * F.col("scale")).alias("c"))
 
 
 def _inverse(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -259,21 +272,19 @@ def fit(stats: DataFrame, steps: int = STEPS) -> DataFrame:
     named = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).select(
         F.coalesce("lang", F.lit("")).alias("l"), F.coalesce("source", F.lit("")).alias("s"), *FEATURES
     )
-    # The length in front keeps any two pairs of language and source apart.
-    keys = {"top": F.lit(""), "ls": F.concat_ws(":", F.length("l").cast("string"), "l", "s")}
+    # Groups of documents, of languages, of sources; the length keeps any two pairs of the last apart.
+    keys = {
+        "g0": F.lit("all"),
+        "g1": F.concat(F.lit("language "), "l"),
+        "g2": F.concat_ws(":", F.lit("source"), F.length("l").cast("string"), "l", "s"),
+    }
     vectors = materialize(named.withColumns(keys), "vectors")
-    pairs = materialize(vectors.select("l", "s", "top", "ls").distinct(), "groups")
-    none = F.lit(None).cast("array<double>")
-    above = None
-    for level, parent in (("top", "top"), ("l", "top"), ("ls", "l")):
-        groups = pairs.select(F.col(level).alias("g"), F.col(parent).alias("g0")).distinct()
-        if above is None:
-            groups = groups.select("g", none.alias("am"), none.alias("ac"))
-        else:
-            groups = groups.join(above, "g0").select("g", "am", "ac")
-        estimate = least_determinant(vectors.select(F.col(level).alias("g"), *FEATURES), materialize(groups, "above"), steps)
-        above = estimate.select(F.col("g").alias("g0"), F.col("m").alias("am"), F.col("c").alias("ac"))
-    last = pairs.join(estimate.withColumnRenamed("g", "ls"), "ls").select("l", "s", "m", "c")
+    pairs = materialize(vectors.select("l", "s", *keys).distinct(), "pairs")
+    levels = [("g0", F.lit(None).cast("string")), ("g1", F.col("g0")), ("g2", F.col("g1"))]
+    groups = reduce(DataFrame.unionByName, [pairs.select(F.col(g).alias("g"), up.alias("g0")) for g, up in levels]).distinct()
+    rows = vectors.select(F.explode(F.array(*keys)).alias("g"), *FEATURES)
+    estimate = least_determinant(rows, groups, steps).withColumnRenamed("g", "g2")
+    last = pairs.select("l", "s", "g2").join(estimate, "g2").select("l", "s", "m", "c")
     return materialize(last.mapInPandas(_inverse, "l string, s string, m array<double>, p array<double>"), "fitted")
 
 
