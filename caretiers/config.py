@@ -93,6 +93,9 @@ class PipelineConfig:
     ``compact_after`` is how many upserts are kept apart before they are merged, and ``buckets`` how
     many files by key an upserted table has per version, fixed when it is first written. ``now`` sets
     the clock. ``archive_root`` is where landing files go once they are in bronze (default: they stay).
+    ``gold_mode`` is "refresh" (fact and mart are rebuilt by every run) or "incremental" (a run adds
+    what is new in silver and recomputes the patients that it touches); the latter adds up loads,
+    so silver must be appended. It is chosen when gold is first built.
     """
 
     landing_root: str
@@ -107,10 +110,15 @@ class PipelineConfig:
     silver_mode: str = "append"
     compact_after: int = 16
     buckets: int = 16
+    gold_mode: str = "refresh"
     checks: bool = False
     archive_root: str | None = None
     now: datetime | None = None
 
+    def __post_init__(self) -> None:
+        if self.gold_mode == "incremental" and self.silver_mode != "append":
+            raise ValueError("gold can only be incremental over silver tables that are appended")
+
     def datasets(self) -> list[DatasetConfig]:
         """The four zones: two sources for each of two entities."""
         return [

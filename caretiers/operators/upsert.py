@@ -25,7 +25,7 @@ def upsert(
     order: Sequence[str],
     compact_after: int = 16,
     buckets: int = BUCKETS,
-    taken: int | None = None,
+    taken: int | Sequence[int] | None = None,
 ) -> None:
     """Upsert the newest batch row of each key into a table.
 
@@ -34,8 +34,8 @@ def upsert(
     versions are bucketed by the key, so the view finds the newest rows, and joins on the key find the
     table, without a shuffle. After ``compact_after`` versions the rows shown are written as one.
     A missing key is one key like any other, so running an upsert again changes nothing.
-    ``taken`` is the last load of the source that the batch holds; it is shown with the rows, in one
-    step (``taken_from_source``). One writer at a time.
+    ``taken`` is the last load of the source (of each source, if several) that the batch holds; it is
+    shown with the rows, in one step (``taken_from_sources``). One writer at a time.
     """
     spark = batch.sparkSession
     newest = latest_by(batch, [key], order)
@@ -50,6 +50,8 @@ def upsert(
         )
         _append(newest, name, key, 1, 1, taken)
         return
+    if len(state) != 2:
+        raise ValueError(f"{name} is refreshed as a whole and cannot be upserted")
     base, last = state
     _append(fitted(newest, spark.table(name), name), name, key, base, last + 1, taken)
     if last + 1 - base >= compact_after:
@@ -89,7 +91,7 @@ def _append(
     key: str,
     base: int,
     version: int,
-    taken: int | None = None,
+    taken: int | Sequence[int] | None = None,
     dealt: bool = False,
 ) -> None:
     """Write rows as a version, one file per bucket, and show the newest of each key from ``base`` on.

@@ -7,13 +7,20 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretiers.config import PipelineConfig, remove_dir, scratch_dir
 from caretiers.operators.flatten import blank_missing, flatten_encounters, flatten_patients
 from caretiers.operators.quality import gold_checks
 from caretiers.operators.upsert import upsert, versions_since
-from caretiers.plans.gold import dim_patient, fact_encounter, mart_patient_summary
+from caretiers.plans.gold import (
+    add_sums,
+    dim_patient,
+    fact_encounter,
+    mart_of_sums,
+    mart_patient_summary,
+    patient_sums,
+)
 from caretiers.plans.silver import silver_encounters, silver_patients
 from caretiers.sources.bundles import stage_resources
 from caretiers.sources.delimited import (
@@ -28,10 +35,14 @@ from caretiers.sources.delimited import (
 from caretiers.sources.landing import land
 from caretiers.sources.tables import (
     append_load,
+    load_days,
+    loads,
     loads_since,
     materialize_table,
+    rows_of_load,
     scan,
     taken_from_source,
+    taken_from_sources,
 )
 from caretiers.streaming.bronze import run_all
 
@@ -144,20 +155,62 @@ def new_silver_patients(spark: SparkSession, config: PipelineConfig) -> tuple[Da
     return loads_since(spark, people, taken)
 
 
-def build_gold(spark: SparkSession, config: PipelineConfig) -> None:
-    """Upsert the dimension, rebuild the fact and the mart."""
-    silver, gold = config.layers.silver, config.layers.gold
-    people, last = new_silver_patients(spark, config)
+def add_to_fact_and_mart(spark: SparkSession, config: PipelineConfig) -> None:
+    """Add the new silver loads to the fact, and bring the patients that they, or the dimension, changed
+    up to date in the mart.
+
+    Loads of the fact have the numbers of the silver loads they come from. Every table says, in the
+    step that shows its rows, what it holds of the tables it comes from; so each step can be repeated,
+    and a run takes in what earlier ones that died have left.
+    """
+    gold, how = config.layers.gold, (config.compact_after, config.buckets)
+    visits, fact = f"{config.layers.silver}.silver_encounters", f"{gold}.fact_encounter"
+    held = max(loads(spark, fact), default=0) if spark.catalog.tableExists(fact) else 0
+    for number, day in load_days(spark, visits, held).items():
+        append_load(fact_encounter(rows_of_load(spark, visits, number)), fact, day, number)
+
+    totals = f"{gold}.patient_sums"
+    new, last = loads_since(spark, fact, taken_from_source(spark, totals))
+    sums = patient_sums(new)
+    if spark.catalog.tableExists(totals):
+        sums = add_sums(sums, scan(spark, totals))
+    upsert(sums, totals, "patient_id", [], *how, last)
+
+    mart, dim = f"{gold}.mart_patient_summary", f"{gold}.dim_patient"
+    taken = taken_from_sources(spark, mart, 2)
+    people, last_people = versions_since(spark, dim, "patient_id", taken[0])
+    counted, last_counted = versions_since(spark, totals, "patient_id", taken[1])
+    touched = people.select("patient_id").union(counted.select("patient_id")).distinct()
+    touched = touched.withColumnRenamed("patient_id", "_touched")
+    shown = scan(spark, dim).join(touched, F.col("patient_id").eqNullSafe(F.col("_touched")), "left_semi")
     upsert(
-        dim_patient(people), f"{gold}.dim_patient", "patient_id", ["ingestion_time"],
-        config.compact_after, config.buckets, last,
+        mart_of_sums(shown, scan(spark, totals)), mart, "patient_id", [], *how,
+        [last_people, last_counted],
     )
+
+
+def refresh_fact_and_mart(spark: SparkSession, config: PipelineConfig) -> None:
+    silver, gold = config.layers.silver, config.layers.gold
     fact = fact_encounter(scan(spark, f"{silver}.silver_encounters"))
     materialize_table(fact, f"{gold}.fact_encounter")
     mart = mart_patient_summary(
         scan(spark, f"{gold}.dim_patient"), scan(spark, f"{gold}.fact_encounter")
     )
     materialize_table(mart, f"{gold}.mart_patient_summary")
+
+
+def build_gold(spark: SparkSession, config: PipelineConfig) -> None:
+    """Upsert the dimension, rebuild the fact and the mart or add to them."""
+    gold = config.layers.gold
+    people, last = new_silver_patients(spark, config)
+    upsert(
+        dim_patient(people), f"{gold}.dim_patient", "patient_id", ["ingestion_time"],
+        config.compact_after, config.buckets, last,
+    )
+    if config.gold_mode == "incremental":
+        add_to_fact_and_mart(spark, config)
+    else:
+        refresh_fact_and_mart(spark, config)
     if config.checks:
         run_checks(spark, config)
 

@@ -7,6 +7,7 @@ readers with the old rows, and running it again gives the right result. One writ
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,8 +52,21 @@ def loads(spark: SparkSession, name: str) -> list[int]:
     return sorted(int(r["partition"].rpartition(f"{LOAD}=")[2]) for r in partitions)
 
 
-def append_load(df: DataFrame, name: str, day: date | str | None = None) -> int:
-    """Append rows as a load of their own and return its number, which is one more than the last.
+def load_days(spark: SparkSession, name: str, after: int = 0) -> dict[int, str]:
+    """The day of every load above ``after``, in their order; looks at the catalog only."""
+    partitions = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    found = [(int(p.rpartition("=")[2]), p.partition("=")[2].partition("/")[0]) for p in partitions]
+    return dict(sorted((number, day) for number, day in found if number > after))
+
+
+def rows_of_load(spark: SparkSession, name: str, number: int) -> DataFrame:
+    return spark.table(name).where(F.col(LOAD) == number).drop(LOAD_DAY, LOAD)
+
+
+def append_load(
+    df: DataFrame, name: str, day: date | str | None = None, number: int | None = None
+) -> int:
+    """Append rows as a load of their own and return its number (default: one more than the last).
 
     Every load is a partition, below the partition of its day (default: today, UTC), so that readers
     can take a day or what is new since a load without looking at the rest. A load whose write died is
@@ -67,7 +81,7 @@ def append_load(df: DataFrame, name: str, day: date | str | None = None) -> int:
             f"CREATE TABLE {name} ({fields}, {LOAD_DAY} DATE, {LOAD} INT) "
             f"USING parquet PARTITIONED BY ({LOAD_DAY}, {LOAD})"
         )
-    number = max(loads(spark, name), default=0) + 1
+    number = number or max(loads(spark, name), default=0) + 1
     rows = fitted(df, spark.table(name).drop(LOAD_DAY, LOAD), name)
     spark.sql(
         f"INSERT OVERWRITE TABLE {name} PARTITION ({LOAD_DAY} = DATE '{day}', {LOAD} = {number}) "
@@ -104,17 +118,27 @@ def published(spark: SparkSession, name: str) -> list[int] | None:
     return [int(n) for n in version.split(",")]
 
 
+def taken_from_sources(spark: SparkSession, name: str, sources: int) -> list[int]:
+    """The last load of each of its sources that a published table holds, 0 where it holds none."""
+    found = properties(spark, name).get(TAKEN_PROPERTY, "0").split(",")
+    return [int(n) for n in found] + [0] * (sources - len(found))
+
+
 def taken_from_source(spark: SparkSession, name: str) -> int:
-    """The last load of its source that a published table holds, 0 if it holds none."""
-    return int(properties(spark, name).get(TAKEN_PROPERTY, 0))
+    """The last load of its only source that a published table holds, 0 if it holds none."""
+    return taken_from_sources(spark, name, 1)[0]
 
 
-def publish(spark: SparkSession, name: str, version: str, body: str, taken: int | None = None) -> None:
-    """Show new rows and, in the same step, how much of the source they hold (default: as before)."""
-    taken = taken_from_source(spark, name) if taken is None else taken
+def publish(
+    spark: SparkSession, name: str, version: str, body: str, taken: int | Sequence[int] | None = None
+) -> None:
+    """Show new rows and, in the same step, how much of the sources they hold (default: as before)."""
+    if taken is None:
+        taken = taken_from_sources(spark, name, 1)
+    held = ",".join(map(str, [taken] if isinstance(taken, int) else taken))
     spark.sql(
         f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES "
-        f"('{VERSION_PROPERTY}' = '{version}', '{TAKEN_PROPERTY}' = '{taken}') AS {body}"
+        f"('{VERSION_PROPERTY}' = '{version}', '{TAKEN_PROPERTY}' = '{held}') AS {body}"
     )
 
 

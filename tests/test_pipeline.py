@@ -7,7 +7,9 @@ from datetime import datetime
 import pytest
 
 from caretiers.config import Layers, PipelineConfig
+from caretiers.operators.upsert import versions_since
 from caretiers.plans import pipeline
+from caretiers.plans.gold import fact_encounter, mart_patient_summary
 from caretiers.plans.pipeline import new_silver_patients, run_pipeline
 
 from conftest import rows
@@ -87,6 +89,67 @@ def test_two_days(spark, tmp_path, mode, visits_of_ann):
     ]
 
 
+def test_incremental_gold_is_what_a_refresh_gives(spark, tmp_path, monkeypatch):
+    suffix = uuid.uuid4().hex
+    layers = Layers(f"bronze_{suffix}", f"silver_{suffix}", f"gold_{suffix}")
+    days = {
+        1: ([patient("p1", "Ann", "Dahl"), patient("p2", "Bea", "Berg")],
+            [visit("e1", "p1", 30), visit("e0", "p7", 10)], {"e1": 10}),
+        9: ([patient("p3", "Cleo", "Cole")], [visit("e3", "p3", 20), visit("e4", "p1", 10)], {"e3": 7}),
+        # The visit of day 1 came before its patient did.
+        17: ([patient("p7", "Gro", "Gran"), patient("p2", "Bea", "Bing")], [visit("e5", "p3", 40)],
+             {"e5": 1}),
+    }
+
+    def config(day):
+        path = tmp_path / f"day{day}"
+        return PipelineConfig(
+            landing_root=str(tmp_path / "landing"), checkpoint_root=str(tmp_path / "checkpoints"),
+            warehouse_root=str(tmp_path / "warehouse"), fhir_path=str(path / "fhir"),
+            patients_csv=str(path / "patients.csv"), encounters_csv=str(path / "encounters.csv"),
+            layers=layers, buckets=2, compact_after=3, gold_mode="incremental", checks=True,
+            now=datetime(2024, 1, day, 12),
+        )
+
+    def same_as_refresh():
+        dim, silver = (spark.table(t) for t in (f"{layers.gold}.dim_patient", f"{layers.silver}.silver_encounters"))
+        assert rows(spark.table(f"{layers.gold}.mart_patient_summary")) == rows(
+            mart_patient_summary(dim, fact_encounter(silver))
+        )
+
+    def die(*args, **more):
+        raise RuntimeError("lost driver")
+
+    for day, inputs in days.items():
+        sources(tmp_path, day, *inputs)
+        if day == 9:
+            # The fact is written, the sums are not; the next run has no new load for the fact.
+            with monkeypatch.context() as patched:
+                patched.setattr(pipeline, "patient_sums", die)
+                with pytest.raises(RuntimeError, match="lost driver"):
+                    run_pipeline(spark, config(day))
+            pipeline.build_gold(spark, config(day))
+        else:
+            run_pipeline(spark, config(day))
+        same_as_refresh()
+        if day == 9:
+            # p2 has neither a new visit nor a new record; the extract has p1 and p9 every day.
+            mart = versions_since(spark, f"{layers.gold}.mart_patient_summary", "patient_id", 1)[0]
+            assert rows(mart, "patient_id") == [("p1",), ("p3",), ("p9",)]
+    pipeline.build_gold(spark, config(17))
+    same_as_refresh()
+    fact = spark.table(f"{layers.gold}.fact_encounter")
+    assert pipeline.loads(spark, f"{layers.gold}.fact_encounter") == [1, 2, 3]
+    assert rows(fact.groupBy("_load_day").count()) == rows(
+        spark.table(f"{layers.silver}.silver_encounters").groupBy("_load_day").count()
+    )
+
+
+def test_incremental_gold_needs_appended_silver():
+    with pytest.raises(ValueError, match="appended"):
+        PipelineConfig(landing_root="", checkpoint_root="", silver_mode="upsert", gold_mode="incremental")
+
+
 def test_incomplete_extract_stops_the_run(spark, tmp_path):
     path = sources(tmp_path, 1, [], [], {})
     suffix = uuid.uuid4().hex
