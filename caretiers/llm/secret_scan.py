@@ -5,8 +5,10 @@ like a key or stand behind a name such as password; their features are length, t
 kinds of characters, how much of them dictionary words cover, the source the document comes from and
 the words around. The forest is trained on labelled findings.
 
-Without findings labelled by hand, formats that providers publish label the ones they fit and well-known
-harmless formats the others; the forest never sees those formats, only the features.
+Without findings labelled by hand, published formats of keys and values of any form given to a name are
+positive examples; addresses, masks, versions, dated names, numbers and plain words are negative ones. A
+value given to a name that is itself a frequent word of the corpus is prose ("the secret: patience") and
+a negative one too. The forest never sees those formats, only the features, and decides about all.
 """
 
 from __future__ import annotations
@@ -39,14 +41,23 @@ KEY_FORMATS = (
     r"^AIza[0-9A-Za-z_-]{35}$",
     r"^eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*$",
 )
-# Formats that are no keys: numbers, addresses, versions, dates, plain words.
-HARMLESS_FORMATS = (
-    r"^[0-9 ()+.,:/-]+$",
+# Formats that are no keys (fixed values). The first are none even behind a name: addresses, masks, templates.
+NEVER_FORMATS = (
     r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+$",
     r"^(?i)(?:https?://|www\.)",
+    r"^[*xX._-]+$",
+    r"^\$|^%.*%$",
+    r"^[0-9]{1,3}$",
+)
+# Numbers, words, versions, dated names.
+HARMLESS_FORMATS = (
+    r"^[0-9 ()+.,:/-]+$",
     r"^[A-Za-z'-]+$",
-    r"^(?:[0-9]+\.)+[0-9]+[a-z]*$",
+    r"^v?[0-9]+(?:\.[0-9]+)+(?:[-+._]?[a-z]+[0-9]*[a-z]?)*$",
+    r"^[A-Za-z]{2,}(?:[-_/.](?:[A-Za-z]{2,}[0-9]{0,4}|[0-9]{1,8}))+$",
 )
+#: Labelled rows of one value of a column are dealt into so many folds; a row does not see its own.
+FOLDS = 5
 FEATURES = ("length", "transitions", "digits", "upper", "variety", "coverage", "assigned", "cue", "source_rate", "before_rate")
 
 
@@ -103,21 +114,37 @@ def dictionary(docs: DataFrame, least: int = WORD_COUNT) -> DataFrame:
 
 
 def labelled(found: DataFrame) -> DataFrame:
-    """found with label: 1.0 for published key formats and values given to names, 0.0 for harmless formats, else null."""
+    """found with label: 1.0 for published key formats and values given to names, 0.0 for harmless formats
+    and for values that are words of the corpus as a whole, else null. Needs coverage."""
     value = F.col("value")
-    secret = _any(value, KEY_FORMATS) | ((F.col("assigned") == 1) & value.rlike(r"[0-9]") & (F.length(value) >= 12))
-    harmless = _any(value, HARMLESS_FORMATS)
-    return found.withColumn("label", F.when(_any(value, KEY_FORMATS), 1.0).when(harmless, 0.0).when(secret, 1.0))
+    word = F.col("coverage") >= 1.0
+    return found.withColumn(
+        "label",
+        F.when(_any(value, KEY_FORMATS), 1.0)
+        .when(_any(value, NEVER_FORMATS) | word, 0.0)
+        .when(F.col("assigned") == 1, 1.0)
+        .when(_any(value, HARMLESS_FORMATS), 0.0),
+    )
 
 
-def _rates(rows: DataFrame, key: str) -> DataFrame:
-    """Smoothed share of secrets among the labelled findings of each value of a column."""
-    known = rows.filter(F.col("label").isNotNull()).groupBy(key).agg(F.sum("label").alias("s"), F.count("label").alias("n"))
-    return known.select(key, ((F.col("s") + 1) / (F.col("n") + 2)).alias(f"{key}_rate"))
+def with_rate(rows: DataFrame, key: str) -> DataFrame:
+    """Adds the smoothed share of secrets among the labelled findings with the same value of a column.
+
+    Folds are dealt by the hash of the finding: a labelled one sees the labels of other folds only, so
+    neither its own label nor that of its copies; an unknown one sees all.
+    """
+    folded = rows.withColumn("fold", F.pmod(F.xxhash64("value"), F.lit(FOLDS)))
+    known = folded.filter(F.col("label").isNotNull()).groupBy(key, "fold").agg(F.sum("label").alias("s"), F.count("label").alias("n"))
+    totals = known.groupBy(key).agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("fold", F.struct("s", "n")))).alias("own")
+    )
+    own = F.when(F.col("label").isNotNull(), F.col("own")[F.col("fold")])
+    rate = (F.col("s") - F.coalesce(own["s"], F.lit(0.0)) + 1) / (F.col("n") - F.coalesce(own["n"], F.lit(0)) + 2)
+    return folded.join(totals, key, "left").withColumn(f"{key}_rate", F.coalesce(rate, F.lit(0.5))).drop("s", "n", "own", "fold")
 
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
-    """Adds the numbers that the forest sees. `found` has labels (null where unknown)."""
+    """Adds the numbers that the forest sees, and labels (null where unknown) if found has none."""
     value = F.col("value")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
     kinds = F.regexp_replace(kinds, "[^Aa0]", "-")
@@ -142,13 +169,8 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         .groupBy("value")
         .agg(F.least(F.lit(1.0), F.sum("letters") / F.max("length")).alias("coverage"))
     )
-    return (
-        shaped.drop("parts")
-        .join(cover, "value", "left")
-        .join(_rates(found, "source"), "source", "left")
-        .join(_rates(found, "before"), "before", "left")
-        .fillna({"coverage": 0.0, "source_rate": 0.5, "before_rate": 0.5})
-    )
+    rows = shaped.drop("parts").join(cover, "value", "left").fillna({"coverage": 0.0})
+    return with_rate(with_rate(rows if "label" in rows.columns else labelled(rows), "source"), "before")
 
 
 def train(rows: DataFrame, most: int = TRAINING_ROWS):
@@ -174,9 +196,11 @@ def train(rows: DataFrame, most: int = TRAINING_ROWS):
 
 
 def score(rows: DataFrame, model) -> DataFrame:
-    """Adds probability and is_secret. Without a model the labels decide, and unknown counts as secret."""
+    """Adds probability and is_secret. Without a model, as one of the labels does not occur, findings that
+    are not labelled have the smoothed share of secrets among the labelled ones as their probability."""
     if model is None:
-        return rows.withColumn("probability", F.coalesce("label", F.lit(1.0))).withColumn("is_secret", F.col("probability") >= 0.5)
+        s, n = rows.agg(F.coalesce(F.sum("label"), F.lit(0.0)), F.count("label")).first()
+        return rows.withColumn("probability", F.coalesce("label", F.lit((s + 1) / (n + 2)))).withColumn("is_secret", F.col("probability") >= 0.5)
     seen = model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows))
     chance = vector_to_array("probability")[1]
     return seen.withColumn("p", chance).drop("x", "rawPrediction", "probability", "prediction").withColumnRenamed("p", "probability").withColumn(
@@ -192,9 +216,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     ids may be null; other columns are not read. An empty table gives an empty result.
     """
     found = candidates(docs)
-    if findings is None:
-        found = labelled(found)
-    else:
+    if findings is not None:
         known = findings.select(F.col("value"), F.col("label").cast("double")).groupBy("value").agg(F.max("label").alias("label"))
         found = found.join(known, "value", "left")
     found = materialize(found, "candidates")

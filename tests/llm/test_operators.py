@@ -509,6 +509,54 @@ def test_values_given_to_names(spark, text, expected):
     assert sorted(map(tuple, found.select("word_no", "value", "assigned").collect())) == expected
 
 
+def test_forms_of_values_given_to_names_and_of_harmless_words(spark):
+    rng = random.Random(31)
+    letters, mixed = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHJKabcdefghjk0123456789"
+    rows, hidden, plain = [], set(), set()
+    prose = "the release of a build for every patient is kept in its folder".split()
+    for k in range(240):
+        words, kind = [rng.choice(prose) for _ in range(40)], k % 6
+        value = "".join(rng.choices(letters if kind == 0 else mixed, k=rng.choice([6, 9, 16])))
+        if kind < 3:
+            words[20] = rng.choice(["password: ", "api_key=", "secret = "]) + value
+            hidden.add(k)
+        elif kind == 3:
+            words[20] = rng.choice([f"{k % 7}.{k % 5}.3-build2024{k:04d}x", f"release-2024-north-build{k}", f"data/2024/part-{k:05d}-final.csv"])
+            plain.add(k)
+        elif kind == 4:
+            words[20] = rng.choice(["the secret: patient", "password: ********", "token: https://a.example/b1", "auth: 12"])
+            plain.add(k)
+        rows.append((k, " ".join(words), "en", f"s{k % 3}"))
+    found = secret_scan.scan(documents(spark, rows)).collect()
+    said = {r["doc_id"] for r in found if r["is_secret"]}
+    assert len(said & hidden) >= 0.97 * len(hidden)
+    assert len(said & plain) <= 0.03 * len(plain) and plain & {r["doc_id"] for r in found}
+    for text, secret in [("password: hunter22", True), ("pwd: letmein", True), ("my secret: correcthorsebattery", True),
+                         ("password=Tr0ub4dor", True), ("see 1.2.3-build20240101x", False), ("release-2024-north-build17", False)]:
+        one = secret_scan.scan(documents(spark, [*rows, (999, text, "en", "s1")])).filter("doc_id = 999").collect()
+        assert [r["is_secret"] for r in one] == [secret], text
+
+
+def test_rates_see_other_folds_only(spark):
+    fold = "pmod(xxhash64(value), 5)"
+    values = spark.range(60).selectExpr("cast(id as string) AS value")
+    rows = values.selectExpr("value", "concat('k', cast(value AS int) % 2) AS before", "CASE WHEN cast(value AS int) % 3 = 0 THEN NULL ELSE cast(value AS int) % 3 - 1.0D END AS label")
+    rows = rows.unionByName(rows).unionByName(spark.createDataFrame([("a", None, 1.0), ("b", "only", 1.0), ("c", "none", None)], rows.schema))
+    got = {(r["value"], r["before_rate"]) for r in secret_scan.with_rate(rows, "before").collect()}
+    plain = [(r["value"], r["before"], r["label"], r["fold"]) for r in rows.selectExpr("*", f"{fold} AS fold").collect()]
+    expected = set()
+    for value, before, label, own in plain:
+        seen = [y for _, b, y, f in plain if b == before and b is not None and y is not None and (label is None or f != own)]
+        expected.add((value, (sum(seen) + 1) / (len(seen) + 2)))
+    assert got == expected
+
+
+def test_without_secrets_among_the_labels_unknown_findings_are_none(spark):
+    rows = spark.createDataFrame([("a", 0.0), ("b", 0.0), ("c", None)], "value string, label double")
+    scored = {r["value"]: (r["probability"], r["is_secret"]) for r in secret_scan.score(rows, None).collect()}
+    assert scored == {"a": (0.0, False), "b": (0.0, False), "c": (0.25, False)}
+
+
 def test_forest_on_held_out_findings(spark):
     rng = random.Random(9)
     found = []
@@ -547,5 +595,5 @@ def test_empty_table(spark, operator):
 
 def test_odd_rows_pass_everywhere(spark, odd_rows):
     docs = documents(spark, odd_rows)
-    assert secret_scan.scan(docs).count() >= 0
+    assert secret_scan.scan(docs).count() == secret_scan.candidates(docs).count()
     assert decontaminate.leaks(docs, docs.select(F.col("doc_id").alias("item_id"), "text").filter("doc_id < 30")).count() > 0
