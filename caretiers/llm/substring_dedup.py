@@ -141,12 +141,10 @@ def _pack(chunk: _Chunk, hashes: WordHashes, window: int, buckets: int, common:
     bucket = (mix(least) % np.uint64(buckets)).astype(np.int64)
     sent = order[kind[order] > 0]
     sent = sent[np.argsort(bucket[sent], kind="stable")]
-    cuts = np.searchsorted(bucket[sent], np.arange(buckets + 1))
+    # Only buckets that occur: there may be far more of them than strings in a chunk.
+    occurring, cuts = np.unique(bucket[sent], return_index=True)
     packer = zstandard.ZstdCompressor(level=3)
-    for b in range(buckets):
-        part = sent[cuts[b] : cuts[b + 1]]
-        if not len(part):
-            continue
+    for b, part in zip(occurring.tolist(), np.split(sent, cuts[1:]), strict=False):
         text = b"\n".join([b" ".join(words[begins[k] : stops[k] + width]) for k in part.tolist()])
         single = kind[part] == 1
         keys = b"".join([chunk.keys[d] for d in doc[part[single]].tolist()])
