@@ -82,9 +82,24 @@ def entries(bundles: DataFrame) -> DataFrame:
     )
 
 
+def kept_entries(bundles: DataFrame, path: str) -> DataFrame:
+    """The entries of bundles, parsed once and kept as parquet in a new folder.
+
+    ``resources`` and ``corrupt_entries`` take them in place of the bundles. Whoever needs both, or several
+    types, would otherwise read and parse every bundle again for each.
+    """
+    found = entries(bundles)
+    found.write.parquet(path)
+    return bundles.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def _entries_of(bundles: DataFrame) -> DataFrame:
+    return bundles if "at" in bundles.columns else entries(bundles)
+
+
 def resources(bundles: DataFrame, resource_type: str) -> DataFrame:
-    """One row per resource of the given type: ``r`` and ``source_file``."""
-    found = entries(bundles).where(F.col("r.resourceType") == resource_type)
+    """One row per resource of the given type: ``r`` and ``source_file``. Takes bundles or their entries."""
+    found = _entries_of(bundles).where(F.col("r.resourceType") == resource_type)
     return found.select("source_file", "r")
 
 
@@ -110,5 +125,5 @@ def stage_resources(
 
 def corrupt_entries(bundles: DataFrame) -> DataFrame:
     """Quarantine: each text that is not of the schema, its position in its bundle (NULL for a whole
-    bundle) and the file it came from."""
-    return entries(bundles).where(F.col("content").isNotNull()).select("source_file", "at", "content")
+    bundle) and the file it came from. Takes bundles or their entries."""
+    return _entries_of(bundles).where(F.col("content").isNotNull()).select("source_file", "at", "content")

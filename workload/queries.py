@@ -36,7 +36,7 @@ from caretiers.operators.upsert import data_table, upsert
 from caretiers.plans import gold, silver
 from caretiers.plans.pipeline import build_gold, build_silver, run_checks, run_pipeline
 from caretiers.schemas import INGESTED_AT
-from caretiers.sources.bundles import corrupt_entries, read_bundles, resources
+from caretiers.sources.bundles import corrupt_entries, kept_entries, read_bundles, resources
 from caretiers.sources.delimited import (
     REQUIRED_PATIENT_COLUMNS,
     csv_reader,
@@ -324,7 +324,7 @@ def fhir_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     api = frame(spark, sf_dir, "pat_api")
     bundles = patient_bundles(api)
     # An entry is taken out of the array's beginning to stand behind a bad one.
-    mrn = F.get_json_object(F.to_json("entry"), "$[1].resource.identifier[1].value")
+    mrn = F.get(F.get("entry", F.lit(1))["resource"]["identifier"], F.lit(1))["value"]
     bad = F.format_string('{"resource":{"resourceType":"Patient","id":"bad-%s","telecom":"%s"}}', mrn, mrn)
     good = bundles.select(F.concat(F.lit('{"entry":['), bad, F.lit(","), F.substring(F.to_json("entry"), 2, 1 << 30), F.lit("}")).alias("value"))
     cut = F.concat(F.lit('{"resourceType": "Bundle", "entry": [{"id": "'), F.col("mrn"))
@@ -334,7 +334,7 @@ def fhir_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         if status.getPath().getName().endswith(".txt"):
             named = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{status.getPath().getName()}.json")
             store_of(spark, path).rename(status.getPath(), named)
-    read = read_bundles(spark, path, "Patient", multiline=False)
+    read = kept_entries(read_bundles(spark, path, "Patient", multiline=False), scratch_dir(spark, "fhir-entries"))
     none = F.lit(None).cast("string")
     found = resources(read, "Patient").select(F.col("r.id").alias("patient_id"), none.alias("content"))
     return found.unionByName(corrupt_entries(read).select(none.alias("patient_id"), "content"))
