@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import itertools
 import tempfile
 import uuid
 import zipfile
@@ -36,8 +38,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Scratch tables written between two calls of tidy.
+TIDY_EVERY = 8
+_written = itertools.count(1)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark remove shuffle files and broadcasts of finished jobs. It does so when the driver's garbage
+    collection finds that nothing refers to them, which may be never while the driver has memory left."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df to a shared scratch table and reads it back: short lineage, known size, no rerun."""
+    if next(_written) % TIDY_EVERY == 0:
+        tidy(df.sparkSession)
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -59,6 +75,7 @@ def release(spark: SparkSession, keep: list[str]) -> None:
     """Removes the scratch tables but those to keep, once everything built on them is written."""
     for made in [m for m in _made if m not in keep]:
         remove(spark, made)
+    tidy(spark)
 
 
 def partitions_for(spark: SparkSession, size: int, each: int) -> int:
