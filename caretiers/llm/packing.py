@@ -49,8 +49,8 @@ _ODD = re.compile("[^!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\n]|<\\|")
 _PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\\n|[^\\n0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: Runs that a generation remembers.
 REMEMBERED = 250_000
-#: Text bytes whose words are numbered together.
-GROUP_BYTES = 16_000_000
+#: Text bytes whose words are numbered together. What a worker holds for them is many times as much.
+GROUP_BYTES = 4_000_000
 
 
 def _kind(vocabulary: int) -> str:
@@ -298,15 +298,26 @@ def pack_shard(terms: list[np.ndarray], window: int, corpus: Statistics) -> tupl
     return windows.pieces, related, unrelated
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in halves of halves, until each is of GROUP_BYTES or a single row."""
+    if batch.num_rows < 2 or batch.nbytes <= GROUP_BYTES:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from _parts(batch.slice(0, half))
+        yield from _parts(batch.slice(half))
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Batches put together up to a number of bytes."""
     group, size = [], 0
     for batch in batches:
-        group.append(batch)
-        size += batch.nbytes
-        if size >= GROUP_BYTES:
-            yield pa.Table.from_batches(group)
-            group, size = [], 0
+        for part in _parts(batch):
+            if group and size + part.nbytes > GROUP_BYTES:
+                yield pa.Table.from_batches(group)
+                group, size = [], 0
+            group.append(part)
+            size += part.nbytes
     if group:
         yield pa.Table.from_batches(group)
 
@@ -327,6 +338,8 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
                     "n": pa.array([len(i) for i in ids], pa.int64()),
                 }
             ).to_batches()
+        # The worker lives on for other tasks: what Arrow holds for later goes back.
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     return rows.mapInArrow(run, "doc_id long, row long, ids binary, n long")

@@ -9,6 +9,7 @@ import zlib
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import documents, odd_rows, shipped  # noqa: F401
 from pyspark.sql import functions as F
@@ -149,6 +150,14 @@ def test_token_counts_are_those_of_greedy_longest_match(spark, odd_rows):
     assert same(got, expected)
 
 
+def test_packing_tokenizes_few_bytes_at_a_time():
+    texts = [None, "", "x" * packing.GROUP_BYTES, *["two words " * 50_000] * 20, *["a b"] * 2000, None]
+    whole = pa.RecordBatch.from_pydict({"row": list(range(len(texts))), "text": texts})
+    groups = list(packing._groups(iter([whole, whole.slice(0, 0), whole.slice(5)])))
+    assert all(g.nbytes <= packing.GROUP_BYTES or g.num_rows == 1 for g in groups)
+    assert [r for g in groups for r in g.column("row").to_pylist()] == [*range(len(texts)), *range(5, len(texts))]
+
+
 def test_packing(spark, odd_rows):
     from tokenizers import Tokenizer
 
