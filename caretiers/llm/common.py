@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Scratch tables made so far.
 _made: list[str] = []
+#: Where a scratch table that was read back lies.
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 #: Memory that a Python worker may spend on remembered words, as a number of entries.
 CACHE_WORDS = 200_000
@@ -56,7 +59,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         tidy(df.sparkSession)
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
 
 
 def made_so_far() -> list[str]:
@@ -71,6 +76,14 @@ def remove(spark: SparkSession, made: str) -> None:
         _made.remove(made)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes scratch tables (as materialize returned them) that nothing reads any more, and what finished
+    jobs have left."""
+    for table in tables:
+        remove(table.sparkSession, _paths.pop(table))
+    tidy(tables[0].sparkSession)
+
+
 def release(spark: SparkSession, keep: list[str]) -> None:
     """Removes the scratch tables but those to keep, once everything built on them is written."""
     for made in [m for m in _made if m not in keep]:

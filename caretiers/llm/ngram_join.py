@@ -9,12 +9,16 @@ Equal sets are one class from the start. Classes that share a prefix token are f
 one of them, then with the best connected; the components found so far make most other pairs of a
 large group unnecessary. What shares a token and is still in different components is compared in
 blocks of bounded size, which give links and never pairs. No link between components is lost.
+
+Sets are large, so few of them move. Pairs are first tested on 16 bits of each token, which tells
+nearly all that do not overlap; tokens with the least member in common are compared as one, so that a
+set does not move once for each of its tokens; and what moves at once is bounded, by slices.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE_WORDS, WordHashes, components, digest, gram_hashes, materialize, mix, raw_texts
+from .common import CACHE_WORDS, WordHashes, components, digest, discard, gram_hashes, materialize, mix, raw_texts, scratch, tidy
 
 #: Words whose counts order the tokens: the most frequent ones, a fixed number at any scale (8 MB).
 #: Others count as rarer than these. The counts only decide which tokens come first; the result
@@ -159,53 +163,120 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
 
 
-def _filtered(pairs: DataFrame, ends: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
+#: What is shuffled at once to bring rows to pairs, as a part of the bytes of all whole sets, and at least.
+SLICE_PART = 4
+SLICE_BYTES = 64 << 20
+
+
+def _in_turn(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """Writes the parts one after the other to one scratch table; shuffle files of one go before the next."""
+    spark = path = None
+    for part in parts:
+        if path is None:
+            spark = part.sparkSession
+            path = scratch(spark, name)
+        else:
+            tidy(spark)
+        part.write.mode("append").parquet(path)
+        schema = part.schema
+    return spark.read.schema(schema).parquet(path)
+
+
+def _turn(column: Column, parts: int, k: int) -> Column:
+    return F.pmod(column, F.lit(parts)) == k
+
+
+def _at_ends(pairs: DataFrame, rows: DataFrame, size: Column, most: int) -> Iterator[DataFrame]:
+    """pairs (materialized) with the columns of rows (materialized, with an id) of both ends: x_ and y_ before
+    their names. In as many frames as it takes for the shuffles of each to stay near `most` bytes."""
+    total, count = rows.agg(F.sum(size), F.count(F.lit(1))).first()
+    each = (total or 0) / max(count, 1)
+    number = pairs.count()
+    parts = max(1, -(-int(2 * each * number + (total or 0)) // most))
+    if parts > 1:
+        # So few in each slice that the ids of its other ends can be broadcast.
+        parts = max(parts, -(-2 * number // BROADCAST_IDS))
+    for k in range(parts):
+        own, left, right = pairs, rows, rows
+        if parts > 1:
+            own = pairs.filter(_turn(F.xxhash64("a"), parts, k))
+            left = _picked(rows.filter(_turn(F.xxhash64("id"), parts, k)), own.select(F.col("a").alias("id")).distinct())
+            right = _picked(rows, own.select(F.col("b").alias("id")).distinct())
+        left = left.withColumnsRenamed({c: "a" if c == "id" else f"x_{c}" for c in rows.columns})
+        right = right.withColumnsRenamed({c: "b" if c == "id" else f"y_{c}" for c in rows.columns})
+        yield own.join(left, "a").join(right, "b")
+
+
+def _filtered(pairs: DataFrame, ends: DataFrame, found: DataFrame, num: int, den: int, most: int) -> DataFrame:
     """Pairs (a, b) of fitting sizes that share prefix tokens under the other orders as well."""
     heads = _picked(found.select(F.col("doc_id").alias("id"), "size", "p1", "p2"), ends).distinct()
-    left = heads.select(F.col("id").alias("a"), F.col("size").alias("sa"), F.col("p1").alias("a1"), F.col("p2").alias("a2"))
-    right = heads.select(F.col("id").alias("b"), F.col("size").alias("sb"), F.col("p1").alias("b1"), F.col("p2").alias("b2"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .filter(_fits(F.col("sa"), F.col("sb"), num, den) & F.arrays_overlap("a1", "b1") & F.arrays_overlap("a2", "b2"))
-        .select("a", "b")
-        .distinct()
-    )
+    heads = materialize(heads, "heads")
+
+    def fits(joined: DataFrame) -> DataFrame:
+        shared = F.arrays_overlap("x_p1", "y_p1") & F.arrays_overlap("x_p2", "y_p2")
+        return joined.filter(_fits(F.col("x_size"), F.col("y_size"), num, den) & shared).select("a", "b").distinct()
+
+    tried = _in_turn(map(fits, _at_ends(pairs, heads, 4 * (F.size("p1") + F.size("p2")) + 24, most)), "tried")
+    discard(heads, ends)
+    return tried
+
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """The first 16 bits of sorted hashes, each value once: what two sets share, theirs do too."""
+    return np.unique((found >> np.uint64(48)).astype(np.uint16))
 
-def _sets_of(docs: DataFrame, ends: DataFrame, n: int, repeated: bool) -> DataFrame:
-    """(id, tokens): whole sets of the documents with the given ids."""
+
+def _sets_of(docs: DataFrame, ends: DataFrame, n: int, repeated: bool, whole: bool = True) -> DataFrame:
+    """(id, size, tokens): whole sets, or sketches of them, of the documents with the given ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(n)
         for batch in batches:
-            found = [shingles(t).tobytes() for t in raw_texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "tokens"])
+            found = [shingles(t) for t in raw_texts(batch)]
+            sizes = pa.array([len(x) for x in found], pa.int64())
+            tokens = pa.array([(x if whole else sketch(x)).tobytes() for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), sizes, tokens], ["id", "size", "tokens"])
 
     rows = _picked(docs.select(F.col("doc_id").alias("id"), "text"), ends)
-    sets = rows.mapInArrow(run, "id long, tokens binary")
+    sets = rows.mapInArrow(run, "id long, size long, tokens binary")
     # Only where ids stand on several rows do equal sets have to be thrown together.
-    return materialize(sets.distinct() if repeated else sets, "tokens")
+    return materialize(sets.distinct() if repeated else sets, "tokens" if whole else "sketches")
+
+
+def most_shared(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> int:
+    """How many tokens two sets of the given sizes share at most, by their tokens or sketches.
+
+    Tokens that fall on one value of a sketch may all be shared: each value counts once, and besides as
+    many as have no value of their own in both. For whole sets there are none and the number is exact.
+    """
+    return len(np.intersect1d(a, b, assume_unique=True)) + min(size_a - len(a), size_b - len(b))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, repeated: bool) -> DataFrame:
-    """Pairs (materialized) whose whole sets overlap enough."""
+def _overlapping(pairs: DataFrame, sets: DataFrame, kind: type, num: int, den: int, most: int, name: str) -> DataFrame:
+    """Pairs (materialized) whose sets (tokens of the given kind) may overlap enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for k, (x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("x", "y")), strict=True)):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if den * both >= num * (len(a) + len(b) - both):
+            columns = (batch.column(c).to_pylist() for c in ("x_tokens", "y_tokens", "x_size", "y_size"))
+            for k, (x, y, size_x, size_y) in enumerate(zip(*columns, strict=True)):
+                both = most_shared(np.frombuffer(x, kind), np.frombuffer(y, kind), size_x, size_y)
+                if den * both >= num * (size_x + size_y - both):
                     keep.append(k)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    sets = _sets_of(docs, _ends(pairs), n, repeated)
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return materialize(joined.mapInArrow(run, "a long, b long").distinct(), "links")
+    found = _at_ends(pairs, sets, F.octet_length("tokens") + 24, most)
+    return _in_turn((x.mapInArrow(run, "a long, b long").distinct() for x in found), name)
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int, repeated: bool, most: int) -> DataFrame:
+    """Pairs (materialized) whose whole sets overlap enough. Only those whose sketches allow it are compared."""
+    for whole, kind, name in ((False, np.uint16, "close"), (True, np.uint64, "links")):
+        ends = _ends(pairs)
+        sets = _sets_of(docs, ends, n, repeated, whole)
+        pairs = _overlapping(pairs, sets, kind, num, den, most, name)
+        discard(sets, ends)
+    return pairs
 
 
 #: Members that a group of classes is compared with in the first phase.
@@ -222,7 +293,9 @@ def _open_tokens(shared: DataFrame, heads: DataFrame, found: DataFrame) -> DataF
     placed = placed.join(heads.select("id", "size"), "id").select("token", "id", "size", F.coalesce("component", "id").alias("c"))
     placed = materialize(placed, "placed")
     several = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
-    return placed.join(several, "token")
+    open_ = materialize(placed.join(several, "token"), "open")
+    discard(placed)
+    return open_
 
 
 def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -238,6 +311,8 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[
     repeated = not named.groupBy("doc_id").count().filter("count > 1").isEmpty()
     heads = named.groupBy("set").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("p0").alias("p0"))
     heads = materialize(heads, "classes")
+    tidy(docs.sparkSession)
+    most = max(SLICE_BYTES, 8 * (found.agg(F.sum("size")).first()[0] or 0) // SLICE_PART)
     entries = heads.select("id", F.explode("p0").alias("token"))
     # Every token draws a class by one of a few orders of the ids: the least id after flipping some
     # bits. Large groups thus have a few centres, and two numbers per token and task are shuffled.
@@ -251,10 +326,11 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[
         .select("token", F.col("lo").bitwiseXOR(flip).alias("centre"))
     )
     shared = materialize(entries.join(drawn, "token"), "shared")
+    tidy(docs.sparkSession)
     stars = shared.filter(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
     stars = materialize(stars.distinct(), "stars")
-    tried = materialize(_filtered(stars, _ends(stars), found, num, den), "tried")
-    links = _verified(docs, tried, n, num, den, repeated)
+    tried = _filtered(stars, _ends(stars), found, num, den, most)
+    links = _verified(docs, tried, n, num, den, repeated, most)
     for _ in range(HUB_ROUNDS):
         # A class that many others are linked to is the likely origin of its group: next, all that
         # share a token with it and are not connected to it yet are compared with it.
@@ -270,46 +346,71 @@ def linked(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[
             .join(stars, ["a", "b"], "left_anti")
         )
         more = materialize(more, "stars")
+        discard(open_)
         if more.isEmpty():
             break
         stars = materialize(stars.unionByName(more), "stars")
-        tried = materialize(_filtered(more, _ends(more), found, num, den), "tried")
-        links = materialize(links.unionByName(_verified(docs, tried, n, num, den, repeated)), "links")
+        tried = _filtered(more, _ends(more), found, num, den, most)
+        links = materialize(links.unionByName(_verified(docs, tried, n, num, den, repeated, most)), "links")
     # Second phase: only under tokens whose members are in several components. A token of few members
     # gives pairs, a bounded number for each member; members of a larger one are compared block by
     # block, so that a token of any size is spread over tasks of bounded size.
-    open_ = materialize(_open_tokens(shared, heads, components(links)), "open")
-    sizes = open_.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("id").bitwiseAND(F.lit((1 << 40) - 1))).alias("mark"))
+    open_ = _open_tokens(shared, heads, components(links))
+    discard(shared)
+    # Tokens with the same least member, by a hash, are one bundle. The more members two tokens have in
+    # common, the likelier that is: those of a group of near copies make a few bundles.
+    sizes = open_.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.xxhash64("id")).alias("bundle"))
     sizes = materialize(sizes, "sizes")
     few = open_.join(sizes.filter(F.col("m") <= FEW), "token").select("token", "id", "c")
     right = few.select("token", F.col("id").alias("b"), F.col("c").alias("cb"))
     pairs = few.withColumnsRenamed({"id": "a", "c": "ca"}).join(right, "token").filter("a < b and ca <> cb").select("a", "b")
     pairs = materialize(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    tried = materialize(_filtered(pairs, _ends(pairs), found, num, den), "tried")
-    links = materialize(links.unionByName(_verified(docs, tried, n, num, den, repeated)), "links")
-    # Tokens with the same members need to be looked at once.
-    many = sizes.filter(F.col("m") > FEW).groupBy("m", "mark").agg(F.min("token").alias("token"))
-    many = many.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("k"))
-    placed = materialize(open_.join(many, "token").select("token", "id", "c", "k"), "placed")
-    sets = _sets_of(docs, materialize(placed.select("id").distinct(), "ends"), n, repeated)
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), "k").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
-    placed = placed.select("token", "id", "c", "own", other.alias("other")).select(
-        "token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "c"
-    )
-    more = placed.join(sets, "id").groupBy("token", "x", "y").applyInArrow(_compare_blocks(num, den), "a long, b long")
-    links = materialize(links.unionByName(more.distinct()), "links")
+    tried = _filtered(pairs, _ends(pairs), found, num, den, most)
+    links = materialize(links.unionByName(_verified(docs, tried, n, num, den, repeated, most)), "links")
+    many = sizes.filter(F.col("m") > FEW).select("token", "bundle")
+    placed = open_.join(many, "token").groupBy("bundle", "id", "c").agg(F.max("size").alias("size"))
+    placed = materialize(placed, "placed")
+    discard(open_, sizes)
+    links = materialize(links.unionByName(_linked_in_bundles(docs, placed, n, num, den, repeated, most)), "links")
     return found.join(heads.select("set", "id"), "set", "left").select("doc_id", "size", "id"), links, components(links)
 
 
 #: Tokens of so many members give pairs.
 FEW = 24
-#: Members of a token that are compared in one task, with as many others at most.
+#: Members of a bundle that are compared in one task, with as many others at most.
 BLOCK = 400
 
 
+def _linked_in_bundles(
+    docs: DataFrame, placed: DataFrame, n: int, num: int, den: int, repeated: bool, most: int
+) -> DataFrame:
+    """Links that connect different components c among the members (bundle, id, c, size) of each bundle."""
+    ends = materialize(placed.select("id").distinct(), "ends")
+    sets = _sets_of(docs, ends, n, repeated)
+    bundles = placed.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"), (8 * F.sum("size")).alias("bytes"))
+    bundles = materialize(bundles, "bundles")
+    copied = bundles.agg(F.sum(F.col("k") * F.col("bytes"))).first()[0] or 0
+    parts = max(1, -(-copied // most))
+    blocks = placed.join(bundles.select("bundle", "k"), "bundle").withColumn("own", F.pmod(F.xxhash64("id"), "k").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
+    blocks = blocks.select("bundle", "id", "c", "own", other.alias("other")).select(
+        "bundle", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "c"
+    )
+    found = (
+        blocks.filter(_turn(F.xxhash64("bundle", "x", "y"), parts, k))
+        .join(sets.select("id", "tokens"), "id")
+        .groupBy("bundle", "x", "y")
+        .applyInArrow(_compare_blocks(num, den), "a long, b long")
+        .distinct()
+        for k in range(parts)
+    )
+    links = _in_turn(found, "links")
+    discard(sets, ends, bundles)
+    return links
+
+
 def _compare_blocks(num: int, den: int):
-    """Links that connect different components among the members of a block (token, x, y)."""
+    """Links that connect different components among the members of a block (bundle, x, y)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, components_, sets = [], [], []
