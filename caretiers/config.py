@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -19,6 +20,7 @@ SESSION_OPTIONS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
@@ -48,6 +50,13 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished jobs, which it does when the driver's garbage is
+    collected; while the driver has memory left that may be never."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @dataclass(frozen=True)
 class DatasetConfig:
     """One landing zone and the bronze table it feeds.

@@ -9,7 +9,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretiers.config import PipelineConfig, remove_dir, scratch_dir
+from caretiers.config import PipelineConfig, free_shuffles, remove_dir, scratch_dir
 from caretiers.operators.flatten import blank_missing, flatten_encounters, flatten_patients
 from caretiers.operators.quality import gold_checks
 from caretiers.operators.upsert import upsert, versions_since
@@ -102,7 +102,8 @@ def land_sources(spark: SparkSession, config: PipelineConfig, load_date: date |
 
     def landing(zone: str) -> Callable[[], None]:
         rows = stamp(frames[zone], FEEDS[zone], config.now)
-        return lambda: land(rows, f"{config.landing_root}/{zone}", load_date)
+        # Landed files stay, and one task reads each as a whole anyway.
+        return lambda: land(rows, f"{config.landing_root}/{zone}", load_date, compression="gzip")
 
     staging = scratch_dir(spark, "resources")
     try:
@@ -235,6 +236,9 @@ def run_pipeline(
     config.layers.create(spark, config.warehouse_root)
     land_sources(spark, config, day)
     run_all(spark, config.datasets(), config.now, f"{config.layers.bronze}.run_metrics")
+    free_shuffles(spark)
     build_silver(spark, config, day)
+    free_shuffles(spark)
     build_gold(spark, config)
+    free_shuffles(spark)
     return scan(spark, f"{config.layers.gold}.mart_patient_summary")

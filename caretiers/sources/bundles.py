@@ -9,11 +9,14 @@ from caretiers.schemas import CORRUPT, ENCOUNTER_FIELDS, PATIENT_FIELDS, bundle_
 
 RESOURCE_FIELDS = {"Patient": PATIENT_FIELDS, "Encounter": ENCOUNTER_FIELDS}
 
+# Bundle files, as they are or compressed; a task reads a compressed one as a whole.
+BUNDLE_FILES = "*.{json,json.gz}"
+
 
 def read_bundles(
     spark: SparkSession, path: str, *resource_types: str, multiline: bool = True
 ) -> DataFrame:
-    """Bundles of the ``*.json`` files directly inside a folder, with the fields of given types.
+    """Bundles of the ``*.json`` and ``*.json.gz`` files directly inside a folder, with the fields of given types.
 
     With ``multiline`` every file holds one document, which one task parses; files of one bundle per
     line, of which only the first would be seen, are refused. Large exports should be
@@ -29,7 +32,7 @@ def read_bundles(
     return (
         spark.read.schema(bundle_schema(*[RESOURCE_FIELDS[t] for t in resource_types]))
         .option("multiLine", multiline)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", BUNDLE_FILES)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
@@ -38,8 +41,8 @@ def read_bundles(
 
 
 def files_of_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the ``*.json`` files of a folder in which more than one line is a bundle by itself."""
-    lines = spark.read.option("pathGlobFilter", "*.json").text(path)
+    """Names of the bundle files of a folder in which more than one line is a bundle by itself."""
+    lines = spark.read.option("pathGlobFilter", BUNDLE_FILES).text(path)
     whole = F.col("value").contains('"entry"') & F.get_json_object("value", "$.entry").isNotNull()
     return (
         lines.where(whole)

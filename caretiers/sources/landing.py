@@ -25,6 +25,7 @@ def land(
     root: str,
     load_date: date | str | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    compression: str = "none",
 ) -> None:
     """Write the rows below ``root/load_date=YYYY-MM-DD``, replacing that day only.
 
@@ -38,6 +39,7 @@ def land(
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
+        .option("compression", compression)
         .options(**CSV_WRITE_OPTIONS)
         .csv(root)
     )

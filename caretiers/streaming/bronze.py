@@ -37,6 +37,8 @@ BATCH = "_batch"
 # The file source leaves out files that are older than the newest one by more than this. Landing
 # files must never be lost, whatever their date, so it is more than any two dates can differ.
 ANY_AGE = "1000000d"
+# Landing files, as they are or compressed.
+LANDING_FILES = "*.{csv,csv.gz}"
 FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -72,7 +74,7 @@ def bronze_stream(
         .option("columnPruning", False)
         .option("maxFilesPerTrigger", config.max_files_per_trigger)
         .option("maxFileAge", ANY_AGE)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", LANDING_FILES)
         .options(**cleaning(config))
         .csv(config.source_path)
         .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
@@ -206,7 +208,7 @@ def ingest_bronze(
         spark.readStream.format("binaryFile")
         .schema(FILE_LISTING)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", LANDING_FILES)
         .option("maxFilesPerTrigger", config.max_files_per_trigger)
         .option("maxFileAge", ANY_AGE)
         .options(**cleaning(config))

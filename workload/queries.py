@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretiers.config import DatasetConfig, Layers, PipelineConfig, scratch_dir, tune_session
+from caretiers.config import DatasetConfig, Layers, PipelineConfig, remove_dir, scratch_dir, tune_session
 from caretiers.operators import enrich
 from caretiers.operators.flatten import (
     blank_missing,
@@ -630,6 +630,10 @@ def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.table(f"{layers.gold}.mart_patient_summary"))
 
 
+# Records of a compressed file that stands for a feed: some 120 MB of bundles.
+BUNDLES_PER_FILE = 100_000
+
+
 @query("landing_to_mart")
 def landing_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily runs from bundles and extracts to the mart, with silver appended as usual."""
@@ -642,13 +646,15 @@ def landing_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         "patients": frame(spark, sf_dir, "pat_csv").drop(INGESTED_AT),
         "encounters": frame(spark, sf_dir, "enc_bill"),
     }
+    # Nothing but the run of their day reads the bundles. Files that cannot be split are kept small.
+    compressed = {"compression": "gzip", "maxRecordsPerFile": BUNDLES_PER_FILE}
     for name, rows in extracts.items():
-        rows.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/{name}")
+        rows.write.options(**CSV_WRITE_OPTIONS, **compressed).csv(f"{root}/{name}")
     mart = None
     for day, now, load in ((DAY_1, NOW_1, first_load), (DAY_2, NOW_2, second_load)):
         bundles = f"{root}/fhir-{day}"
-        patient_bundles(load(patients)).write.json(bundles)
-        encounter_bundles(load(visits)).write.mode("append").json(bundles)
+        patient_bundles(load(patients)).write.options(**compressed).json(bundles)
+        encounter_bundles(load(visits)).write.options(**compressed).mode("append").json(bundles)
         config = PipelineConfig(
             landing_root=f"{root}/landing",
             checkpoint_root=f"{root}/checkpoints",
@@ -663,6 +669,7 @@ def landing_to_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
             now=now,
         )
         mart = run_pipeline(spark, config)
+        remove_dir(spark, bundles)
     return rounded(mart)
 
 
